@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import match_queries, search_queries, table_queries, text_queries  # noqa: F401  importing a module registers its queries
+from ._register import ORACLE_SQL, QUERIES
+
 FLAGSHIP = "m1_loose_score"
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
