@@ -5,24 +5,23 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: The superset of corpus records; a reader leaves what a record lacks null.
-UNIT = T._parse_datatype_string(
+UNIT = (
     "id string, work string, version string, kind string, level int, vol int, page_before int, leaf int, text_raw string, text string, "
     "headings array<string>, hemistichs array<string>, number string, isnad string, matn string, unit_type string, part string, seq int, provenance string"
 )
 CORRUPT = "corrupt_record"
 
 
-def json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType = UNIT, glob: str = "*.jsonl*", recursive: bool = True) -> DataFrame:
+def json_lines(spark: SparkSession, path: str | list[str], schema: str = UNIT, glob: str = "*.jsonl*", recursive: bool = True) -> DataFrame:
     """Records of JSON-lines files (gzip by suffix) with the file's path; odd lines are kept in corrupt_record, not dropped."""
-    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(f"{schema}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
     df = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).json(path)
     return df.withColumn("path", F.col("_metadata.file_path"))
 
 
-def prefiltered_json_lines(spark: SparkSession, path: str, pattern: str, schema: T.StructType = UNIT) -> DataFrame:
+def prefiltered_json_lines(spark: SparkSession, path: str, pattern: str, schema: str = UNIT) -> DataFrame:
     """Records of those lines only that match a pattern of the raw text, tested before decoding.
 
     The pattern must match every line whose record can match (escaped lines, with a backslash and u, always pass).
@@ -31,7 +30,7 @@ def prefiltered_json_lines(spark: SparkSession, path: str, pattern: str, schema:
     return lines.where(F.col("value").rlike(pattern) | F.contains("value", F.lit("\\u"))).select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
-def tab_separated(spark: SparkSession, path: str, schema: T.StructType, quoted: bool = False) -> DataFrame:
+def tab_separated(spark: SparkSession, path: str, schema: str, quoted: bool = False) -> DataFrame:
     """A headered table; without quoting unless asked. A missing file is an empty table."""
     reader = spark.read.schema(schema).option("sep", "\t").option("header", "true").option("quote", '"' if quoted else "")
     try:
