@@ -201,3 +201,28 @@ def digits(c: Column | str) -> Column:
 def compact(c: Column | str) -> tuple[Column, Column]:
     """A text as an integer where it is digits only, and itself."""
     return F.when(_c(c).rlike(r"^[0-9]{1,18}$"), _c(c).cast("long")), _c(c)
+
+
+def excerpt(toks: Column, start: Column, stop: Column, around: int) -> Column:
+    """The tokens from start to stop and `around` on either side, with an ellipsis where more stands."""
+
+    def body(t: Column) -> Column:
+        lo, hi = F.greatest(start - around, F.lit(0)), F.least(stop + around + 1, F.size(t))
+        return F.concat(F.when(lo > 0, "… ").otherwise(""), F.array_join(F.slice(t, lo + 1, hi - lo), " "), F.when(hi < F.size(t), " …").otherwise(""))
+
+    return let(toks, body)
+
+
+def near_cues(toks: Column, start: Column, stop: Column, rules: dict[str, list[str]], before: int = 15, after: int = 50, most: int = 4) -> Column:
+    """For each class the distinct cue words near a match, sorted, at most `most`: array<struct<class, words>>."""
+
+    def body(t: Column) -> Column:
+        lo = F.greatest(start - before, F.lit(0))
+        part = F.slice(t, lo + 1, stop + after + 1 - lo)
+        def words_of(ws: list[str]) -> Column:
+            return F.slice(F.array_sort(F.array_distinct(F.filter(part, lambda w: w.isin(*ws)))), 1, most)
+
+        found = [F.struct(F.lit(c).alias("class"), words_of(ws).alias("words")) for c, ws in rules.items()]
+        return F.filter(F.array(*found), lambda s: F.size(s["words"]) > 0)
+
+    return let(toks, body)
