@@ -147,3 +147,12 @@ def place(hits: list[tuple[int, int, dict[int, int], int | None]], near: tuple[i
             out.append((record, now, "continues", 0))
         out += [(record, v, "cited", -h) for h, v in good if v != now]
     return out
+
+
+def clean_layer(text: str | None, glyphs: dict[str, str], doubled: str = "", direction: str = "\u200e\u200f\u202a\u202b\u202c\u202d\u202e") -> str:
+    """A text layer's glyph codes as letters, without doubled glyphs and direction marks, compatibility forms undone, NFC."""
+    table = {ord(k): v for k, v in glyphs.items()} | {ord(c): None for c in direction}
+    out = (text or "").translate(table)
+    for c in doubled:
+        out = re.sub(f"{re.escape(c)}{{2,}}", c, out)
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFKC", out))

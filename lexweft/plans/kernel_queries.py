@@ -91,6 +91,67 @@ def k5_append_history(spark, sf):
     return spark.read.parquet(path).agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids"))
 
 
+@query(r"""SELECT page_id, length(CASE WHEN instr(html, '<footer') > 0 THEN substr(html, 1, instr(html, '<footer') - 1) ELSE html END) AS n_body, CASE WHEN instr(html, '<footer') > 0 THEN length(substr(html, instr(html, '<footer') + 7)) END AS n_notes FROM pages""")
+def s7_body_and_notes(spark, sf):
+    out = readers.body_and_notes(table(spark, sf, "pages"), "html", "<footer")
+    return out.select("page_id", F.length("body").cast("long").alias("n_body"), F.length("notes").cast("long").alias("n_notes"))
+
+
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS place FROM lineitem), a AS (SELECT o_orderkey, 1 + o_orderkey % 3 AS a0, o_custkey AS num FROM orders)
+    SELECT p.l_orderkey, p.place, CASE WHEN place >= a0 THEN num - a0 + place END AS printed FROM p LEFT JOIN a ON o_orderkey = l_orderkey""")
+def s9_anchored_numbers(spark, sf):
+    """Lines of an order numbered on from the anchor that the order gives."""
+    lines = table(spark, sf, "lineitem").withColumn("at_", F.struct("l_linenumber", "l_partkey", "l_suppkey"))
+    anchors = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (1 + F.col("o_orderkey") % 3).alias("at"), F.col("o_custkey").alias("number"))
+    return readers.numbered(lines, "l_orderkey", "at_", anchors, "at", "number").select("l_orderkey", "place", "printed")
+
+
+@query("SELECT conv_id AS sura, turn AS aya, md5(trim(replace(text, chr(10), ' '))) AS md5 FROM conversations")
+def s11_verse_lines(spark, sf):
+    """Turns written as `# s | a | text` lines with continuation lines, and parsed back."""
+    c = table(spark, sf, "conversations")
+    lines = c.select("conv_id", "turn", F.posexplode(F.split(F.concat_ws(" | ", F.concat(F.lit("# "), F.col("conv_id").cast("string")), F.col("turn").cast("string"), "text"), "\n")).alias("part", "value"))
+    lines = lines.select(F.col("conv_id").cast("string").alias("path"), F.struct("turn", "part").alias("line"), "value")
+    return readers.verse_lines(lines).select(F.col("sura").cast("long").alias("sura"), F.col("aya").cast("long").alias("aya"), F.md5(F.col("text").cast("binary")).alias("md5"))
+
+
+@query("SELECT doc_id, md5(nfc_normalize(text)) AS md5 FROM documents")
+def s12_clean_layer(spark, sf):
+    """Texts are clean already, so cleaning leaves them; the kernel's rules have unit tests."""
+    return table(spark, sf, "documents").select("doc_id", F.md5(K.column(lambda t: K.clean_layer(t, {}), "string", F.col("text")).cast("binary")).alias("md5"))
+
+
+@query()
+def s14_marked_verdicts(spark, sf):
+    c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("path"), F.col("turn").alias("line"), F.concat_ws(" ", "role", "text").alias("value"))
+    out = readers.marked_verdicts(c, "path", "line", "value", "^(user)", "^assistant", 1)
+    return out.select("path", "number", F.length("text").alias("n_text"), F.length("verdict").alias("n_verdict"))
+
+
+@query("SELECT doc_id, source FROM documents WHERE 'work-' || source NOT IN (SELECT 'work-src' || n_nationkey FROM nation WHERE n_regionkey < 2)")
+def m10_extra_folders(spark, sf):
+    """Works that aren't listed yet."""
+    listed = table(spark, sf, "nation").where("n_regionkey < 2").select(F.concat(F.lit("work-src"), F.col("n_nationkey").cast("string")).alias("listed"))
+    return table(spark, sf, "documents").join(listed, F.concat(F.lit("work-"), "source") == F.col("listed"), "left_anti").select("doc_id", "source")
+
+
+@query("SELECT count(*) AS n, 1 AS good, 1 AS bad FROM labels")
+def k3_staged_build(spark, sf):
+    """A build that fails leaves the table that was there; both outcomes are recorded."""
+    path, marker = shared_path(spark, "layer"), shared_path(spark, "status")
+    labels = table(spark, sf, "labels")
+    sinks.staged(spark, lambda p: labels.write.parquet(p), path, marker)
+    sinks.staged(spark, lambda p: labels.select(F.raise_error(F.lit("broken")).cast("string").alias("x")).write.parquet(p), path, marker)
+    status = spark.read.parquet(marker).agg(F.count_if("ok").cast("int").alias("good"), F.count_if(~F.col("ok")).cast("int").alias("bad"))
+    return spark.read.parquet(path).agg(F.count("*").alias("n")).crossJoin(status)
+
+
+@query()
+def k6_markdown(spark, sf):
+    text = sinks.markdown(table(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang"))
+    return spark.createDataFrame([(text,)], "page string")
+
+
 @query()
 def f11_strip_gloss(spark, sf):
     name = K.column(lambda t: K.strip_gloss(t, "(?i)small|large|medium", frozenset({"steel", "brass", "copper"})), "string", F.col("p_name"))

@@ -79,3 +79,66 @@ def verified(files: DataFrame, expected: DataFrame) -> DataFrame:
     joined = files.select("path", "content", F.sha2("content", 256).alias("got")).join(expected, "path")
     ok = F.when(F.col("got") == F.col("sha256"), F.col("path")).otherwise(F.raise_error(F.concat(F.lit("checksum of "), "path")))
     return joined.select(ok.alias("path"), "content")
+
+
+def body_and_notes(df: DataFrame, text: str, separator: str = "\n__________") -> DataFrame:
+    """df with the text before the separator and the notes after it (null if there is none)."""
+    at = F.instr(text, separator)
+    return df.withColumns({"body": F.when(at > 0, F.col(text).substr(F.lit(1), at - 1)).otherwise(F.col(text)), "notes": F.when(at > 0, F.col(text).substr(at + len(separator), F.length(text)))})
+
+
+def heading_paths(df: DataFrame, key: str, order: str, level: str, title: str, levels: int = 6) -> DataFrame:
+    """df with `path`: the titles that a row stands under, outermost first, its own included.
+
+    A level's last title counts if none of a smaller level came after it. Levels are few, so each is one column of the
+    same window.
+    """
+    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    df = df.withColumn("place_", place)
+    last = [F.last(F.when(F.col(level) == k, F.struct(F.col("place_").alias("at"), F.col(title).alias("t"))), ignorenulls=True).over(w) for k in range(1, levels + 1)]
+    df = df.withColumns({f"h{k}_": c for k, c in enumerate(last, 1)})
+    counts = []
+    for k in range(1, levels + 1):
+        above = [F.coalesce(F.col(f"h{j}_.at"), F.lit(0)) for j in range(1, k)]
+        newest = F.lit(0) if not above else above[0] if len(above) == 1 else F.greatest(*above)
+        counts.append(F.when(F.col(f"h{k}_.at") > newest, F.col(f"h{k}_.t")))
+    return df.withColumn("path", F.array_compact(F.array(*counts))).drop("place_", *[f"h{k}_" for k in range(1, levels + 1)])
+
+
+def numbered(df: DataFrame, key: str, order: str, anchors: DataFrame, anchor_at: str, anchor_number: str) -> DataFrame:
+    """df with its place in the key, and a printed number: that of the last anchor at or before the place, counted on from
+    there; null before the first anchor. Anchors (key, anchor_at, anchor_number) join the rows as one more ordered input."""
+    placed = df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+    a = anchors.select(F.col(key).alias("a_key"), F.col(anchor_at).alias("a_at"), F.col(anchor_number).alias("a_number"))
+    joined = placed.join(a, (F.col(key) == F.col("a_key")) & (F.col("place") == F.col("a_at")), "left")
+    w = Window.partitionBy(key).orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    base = F.last(F.when(F.col("a_at").isNotNull(), F.col("a_number") - F.col("place")), ignorenulls=True).over(w)
+    return joined.withColumn("printed", base + F.col("place")).drop("a_key", "a_at", "a_number")
+
+
+def verse_lines(lines: DataFrame, key: str = "path", order: str = "line", text: str = "value") -> DataFrame:
+    """(sura, aya, text) of `# s | a | text` lines with the lines after them; other lines before the first are dropped."""
+    w = Window.partitionBy(key).orderBy(order)
+    pattern = r"^# *(\d+) *\| *(\d+) *\| ?(.*)$"
+    t = F.col(text)
+    df = lines.withColumn("unit", F.sum(F.when(t.rlike(pattern), 1).otherwise(0)).over(w)).where("unit > 0")
+    part = F.when(t.rlike(pattern), F.regexp_extract(t, pattern, 3)).otherwise(t)
+    df = df.withColumns({"part": part, "sura": F.regexp_extract(t, pattern, 1), "aya": F.regexp_extract(t, pattern, 2)})
+    parts = F.transform(F.sort_array(F.collect_list(F.struct(order, "part"))), lambda x: x["part"])
+    out = df.groupBy(key, "unit").agg(F.min_by("sura", order).cast("int").alias("sura"), F.min_by("aya", order).cast("int").alias("aya"), F.array_join(parts, " ").alias("text"))
+    return out.select("sura", "aya", F.trim("text").alias("text"))
+
+
+def marked_verdicts(lines: DataFrame, key: str, order: str, text: str, number: str, mark: str, more: int = 3) -> DataFrame:
+    """(key, number, text, verdict): entries that open with a number line; the text up to the first line that `mark`
+    matches, and the verdict from there on over at most `more` further lines."""
+    w = Window.partitionBy(key).orderBy(order)
+    t = F.col(text)
+    df = lines.withColumn("unit", F.sum(F.when(t.rlike(number), 1).otherwise(0)).over(w)).where("unit > 0")
+    inside = Window.partitionBy(key, "unit").orderBy(order)
+    df = df.withColumn("since", F.sum(F.when(t.rlike(mark), 1).otherwise(0)).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    df = df.withColumn("after", F.sum(F.when(F.col("since") > 0, 1).otherwise(0)).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    joined = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(c, F.struct(order, text)))), lambda x: x[text]), " ")
+    out = df.groupBy(key, "unit").agg(F.min_by(F.regexp_extract(t, number, 1), order).alias("number"), joined(F.col("since") == 0).alias("text"), joined(F.col("after").between(1, more + 1)).alias("verdict"))
+    return out.select(key, "number", "text", "verdict")

@@ -40,3 +40,33 @@ def last_wins(layers: list[DataFrame], key: str) -> DataFrame:
     for df in marked[1:]:
         every = every.unionByName(df, allowMissingColumns=True)
     return every.withColumn("r_", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("layer_")))).where("r_ = 1").drop("r_", "layer_")
+
+
+def staged(spark, build, path: str, marker: str) -> dict:
+    """Builds a table beside its place and moves it there only when it is whole; a failure leaves what was there.
+
+    build(staging_path) writes the table. Returns the status row that is appended to `marker`.
+    """
+    jvm = spark._jvm
+    target, staging = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.staging"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(staging, True)
+    status = {"path": path, "ok": True, "error": ""}
+    try:
+        build(f"{path}.staging")
+        fs.delete(target, True)
+        fs.rename(staging, target)
+    except Exception as e:  # noqa: BLE001  the failure is the result
+        fs.delete(staging, True)
+        status |= {"ok": False, "error": str(e)[:200]}
+    spark.createDataFrame([status], "path string, ok boolean, error string").coalesce(1).write.mode("append").parquet(marker)
+    return status
+
+
+def markdown(df: DataFrame, limit: int = 200) -> str:
+    """A small table as Markdown; more than `limit` rows are an error, not a cut."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows")
+    cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
+    return "\n".join(["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *["| " + " | ".join(cell(v) for v in r) + " |" for r in rows]]) + "\n"

@@ -161,3 +161,30 @@ def test_couplets_and_leaves(spark):
     assert got == [(1, "bayt", ["a", "b"]), (3, "single_line", ["c"]), (4, "single_line", ["d"])]
     t = spark.createDataFrame([("k", "abcdef", [(0, 2), (2, 6)])], "k string, t string, s array<struct<start:int,end:int>>")
     assert [(r["leaf"], r["text"]) for r in readers.leaves(t, "k", "t", "s").collect()] == [(0, "ab"), (1, "cdef")]
+
+
+def test_heading_paths_and_notes(spark):
+    rows = [("k", 1, 1, "A"), ("k", 2, 2, "a"), ("k", 3, None, None), ("k", 4, 1, "B"), ("k", 5, None, None), ("k", 6, 3, "x")]
+    df = spark.createDataFrame(rows, "key string, n int, level int, title string")
+    got = [r["path"] for r in readers.heading_paths(df, "key", "n", "level", "title").orderBy("n").collect()]
+    assert got == [["A"], ["A", "a"], ["A", "a"], ["B"], ["B"], ["B", "x"]]
+    notes = readers.body_and_notes(spark.createDataFrame([("a\n__________b",), ("c",)], "t string"), "t")
+    assert {(r["body"], r["notes"]) for r in notes.collect()} == {("a", "b"), ("c", None)}
+
+
+def test_marked_verdicts_and_checksums(spark):
+    lines = ["skip", "12 - text", "goes on", "=> sound", "by him", "and more", "too far", "13 - other"]
+    df = spark.createDataFrame([("p", i, v) for i, v in enumerate(lines)], "path string, line int, value string")
+    got = {r["number"]: (r["text"], r["verdict"]) for r in readers.marked_verdicts(df, "path", "line", "value", r"^(\d+) - ", "^=>", 2).collect()}
+    assert got == {"12": ("12 - text goes on", "=> sound by him and more"), "13": ("13 - other", "")}
+    files = spark.createDataFrame([("f", bytearray(b"abc"))], "path string, content binary")
+    good = "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
+    assert readers.verified(files, spark.createDataFrame([("f", good)], "path string, sha256 string")).count() == 1
+    with pytest.raises(Exception, match="checksum"):
+        readers.verified(files, spark.createDataFrame([("f", "0")], "path string, sha256 string")).collect()
+
+
+def test_markdown_is_never_cut(spark):
+    assert sinks.markdown(spark.createDataFrame([(1, "a|b")], "k int, v string")) == "| k | v |\n|---|---|\n| 1 | a\\|b |\n"
+    with pytest.raises(ValueError, match="more than"):
+        sinks.markdown(spark.range(5), limit=4)
