@@ -19,7 +19,7 @@ def column(f: Callable, kind: str, *cols: Column) -> Column:
     """f over columns, in Arrow batches. f gets None for null."""
 
     def rows(series) -> list:
-        return [f(*[None if x is None or x != x else x for x in row]) for row in zip(*series, strict=True)]
+        return [f(*[None if x is None or (isinstance(x, float) and x != x) else x for x in row]) for row in zip(*series, strict=True)]
 
     if kind.startswith("struct"):
 

@@ -226,3 +226,15 @@ def near_cues(toks: Column, start: Column, stop: Column, rules: dict[str, list[s
         return F.filter(F.array(*found), lambda s: F.size(s["words"]) > 0)
 
     return let(toks, body)
+
+
+def cut_name(c: Column | str, cut: str, same: dict[str, str], p: Profile = LATIN) -> Column:
+    """A name up to the first match of `cut` (honorifics, verbs of speech), normalised, special forms replaced whole."""
+    head = F.get(F.split(text(c), cut, 2), F.lit(0))
+    n = clean(head, p)
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in same.items() for x in kv])[n], n) if same else n
+
+
+def plain(c: Column | str, p: Profile = LATIN) -> Column:
+    """Letters only, for comparisons."""
+    return F.replace(clean(c, p), F.lit(" "), F.lit(""))

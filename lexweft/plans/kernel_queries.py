@@ -160,7 +160,7 @@ def f11_strip_gloss(spark, sf):
 
 @query()
 def f14_last_name(spark, sf):
-    name = K.column(lambda t: K.last_name(t, frozenset({"de", "of", "von"})), "string", F.substring("text", 1, 400))
+    name = K.column(lambda t: K.last_name(t, frozenset({"de", "of", "von"})), "string", F.col("text"))
     return table(spark, sf, "documents").select("doc_id", name.alias("narrator"))
 
 
@@ -230,7 +230,7 @@ def g6_alignment(spark, sf):
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("turn")
-        a, b = (pdf.loc[pdf.role == r, "text"].str[:200].tolist()[:40] for r in ("user", "assistant"))
+        a, b = (pdf.loc[pdf.role == r, "text"].fillna("").tolist() for r in ("user", "assistant"))
         similar = lambda x, y: len(set(x.split()) & set(y.split())) / max(1, len(set(x.split()) | set(y.split())))
         rows = C.align(a, b, similar)
         return pd.DataFrame({"conv_id": [pdf.conv_id.iloc[0]] * len(rows), "left": [-1 if i is None else i for i, _, _ in rows], "right": [-1 if j is None else j for _, j, _ in rows], "status": [s for _, _, s in rows]})
@@ -249,11 +249,15 @@ def w3_differences(spark, sf):
 @query()
 def w9_readings(spark, sf):
     """Readings of the documents of each group of equal length in words by majority and lexicon."""
-    lexicon = {r["term"]: r["freq"] for r in S.vocabulary(S.postings(table(spark, sf, "benchmark"), "item_id")).orderBy(F.desc("freq"), "term").limit(5000).collect()}
-    pairs = M.jaccard_pairs(M.gram_table(table(spark, sf, "documents"), "doc_id", "text", 5), 80)
+    lexicon = S.vocabulary(S.postings(table(spark, sf, "benchmark"), "item_id")).where("freq >= 2")
+    pairs = M.jaccard_pairs(M.gram_table(table(spark, sf, "documents"), "doc_id", "text", 5), 80).select("a", "b")
     t = table(spark, sf, "documents").select("doc_id", "text")
-    sides = pairs.join(t.withColumnRenamed("text", "ta"), pairs["a"] == t["doc_id"]).drop("doc_id").join(t.withColumnRenamed("text", "tb"), F.col("b") == F.col("doc_id")).select("a", "b", "ta", "tb")
-    rules = K.column(lambda x, y: [r for _, r in C.reading((x or "").split(), [(y or "").split()], lexicon)[1]], "array<string>", F.col("ta"), F.col("tb"))
+    sides = pairs.join(t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+    # Each pair takes along what the lexicon says of its own words, so nothing is gathered from all of it.
+    used = sides.select("a", "b", F.explode(F.array_distinct(F.concat(F.split("ta", r"\s+"), F.split("tb", r"\s+")))).alias("term")).join(lexicon, "term")
+    known = used.groupBy("a", "b").agg(F.map_from_entries(F.collect_list(F.struct("term", "freq"))).alias("known"))
+    rules = K.column(lambda x, y, known: [r for _, r in C.reading((x or "").split(), [(y or "").split()], dict(known or {}))[1]], "array<string>", F.col("ta"), F.col("tb"), F.col("known"))
+    sides = sides.join(known, ["a", "b"], "left")
     return sides.select("a", F.explode(rules).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"), F.countDistinct("a").alias("docs"))
 
 
@@ -281,6 +285,88 @@ def m9_json_rendering(spark, sf):
     return _loose(spark, sf).groupBy("q").agg(F.to_json(F.transform(F.sort_array(F.collect_list(hit)), lambda h: F.struct(h["uid"].alias("uid"), h["start"].alias("start"), h["stop"].alias("stop")))).alias("hits"))
 
 
+@query("SELECT 25 AS units, 1 AS files")
+def s13_checksums(spark, sf):
+    """A file is read only if its SHA-256 is the expected one; anything else fails the job."""
+    path = shared_path(spark, "pinned")
+    sinks.export_lines(table(spark, sf, "nation").coalesce(1), path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    good = readers.verified(files, files.select("path", F.sha2("content", 256).alias("sha256")))
+    n = spark.read.schema("n_nationkey int").json(path).agg(F.count("*").cast("int").alias("units"))
+    return good.agg(F.count("*").cast("int").alias("files")).join(n, F.lit(True)).select("units", "files")
+
+
+@query("SELECT 'nation' AS work, count(*) AS units FROM nation UNION ALL SELECT 'region', count(*) FROM region UNION ALL SELECT 'missing', 0")
+def s16_catalog_import(spark, sf):
+    """One reader for all works of a catalog: each entry names its work, format, path and schema."""
+    lines, tsv = shared_path(spark, "nation"), shared_path(spark, "region")
+    sinks.export_lines(table(spark, sf, "nation"), lines)
+    table(spark, sf, "region").write.option("sep", "\t").option("header", "true").option("quote", "").csv(tsv)
+    catalog = [("nation", "lines", lines, "n_nationkey int, n_name string"), ("region", "tsv", tsv, "r_regionkey int, r_name string"), ("missing", "tsv", f"{tsv}-none", "k int")]
+    units = readers.imported(spark, catalog)
+    works = spark.createDataFrame([(w,) for w, *_ in catalog], "work string")
+    return works.join(units.groupBy("work").agg(F.count("*").alias("units")), "work", "left").fillna(0, ["units"])
+
+
+@query()
+def f26_name_before(spark, sf):
+    """The words before `idiot` in each document, back to the last one that isn't among its ten most frequent words."""
+
+    def name(t):
+        words = (t or "").lower().split()
+        counts: dict[str, int] = {}
+        for w in words:
+            counts[w] = counts.get(w, 0) + 1
+        own = set(sorted(counts, key=lambda w: (-counts[w], w))[:10])
+        return K.name_before(words, words.index("idiot"), own) if "idiot" in words else None
+
+    return table(spark, sf, "documents").select("doc_id", K.column(name, "string", F.col("text")).alias("name")).where("name IS NOT NULL")
+
+
+CASES = """
+| id | level | check | input | expect |
+|---|---|---|---|---|
+| D1 | must | rows | documents | n > 0 |
+| D2 | must | distinct | documents.doc_id | share > 99% |
+| D3 | must | orphans | labels.doc_id documents.doc_id | n = 0 |
+| D4 | must | range | documents.n_chars | least >= 0 |
+| L1 | must | shares | labels.quality | ones > 50%, ones < 100% |
+| O1 | must | orphans | lineitem.l_orderkey orders.o_orderkey | n = 0 |
+| E1 | goal | distinct | events.user_id | n > 10 |
+"""
+
+
+@query()
+def t1_acceptance(spark, sf):
+    """The cases of a table run over the tables; one row for each."""
+    from ..operators import acceptance as A
+
+    def column(spec):
+        name, c = spec.split(".")
+        return table(spark, sf, name).select(c), c
+
+    def distinct(case):
+        df, c = column(case.input)
+        r = df.agg(F.countDistinct(c).alias("d"), F.count("*").alias("n")).first()
+        return {"n": r["d"], "share": r["d"] / max(1, r["n"])}
+
+    def orphans(case):
+        (a, x), (b, y) = map(column, case.input.split())
+        return {"n": a.join(b.withColumnRenamed(y, x), x, "left_anti").count()}
+
+    def least(case):
+        df, c = column(case.input)
+        return {"least": df.agg(F.min(c)).first()[0]}
+
+    def shares(case):
+        df, c = column(case.input)
+        return {"ones": df.agg(F.avg((F.col(c) == 1).cast("double"))).first()[0]}
+
+    checks = {"rows": lambda case: {"n": table(spark, sf, case.input).count()}, "distinct": distinct, "orphans": orphans, "range": least, "shares": shares}
+    results = A.run(A.parse_table(CASES), checks)
+    return spark.createDataFrame([(r["id"], r["level"], r["passed"], r["why"]) for r in results], "id string, level string, passed boolean, why string")
+
+
 @query("SELECT count(*) AS n FROM events")
 def stream_events(spark, sf):
     """Extension: the events as a stream of files, merged once each by a keyed foreachBatch sink."""

@@ -209,3 +209,13 @@ def f40_json(spark, sf):
 def f41_dates(spark, sf):
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return table(spark, sf, "orders").groupBy(day.alias("day")).agg(F.count("*").alias("n"), F.bool_and(day.rlike(r"^\d{4}-\d{2}-\d{2}$")).alias("well_formed"))
+
+
+@query("SELECT c_custkey, CASE WHEN n = 'customer' THEN 'client' ELSE n END AS name FROM (SELECT c_custkey, trim(regexp_replace(lower(string_split(c_name, '#')[1]), '[^\\p{L}]+', ' ', 'g')) AS n FROM customer)")
+def f10_cut_name(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", T.cut_name("c_name", "#", {"customer": "client"}).alias("name"))
+
+
+@query(f"SELECT doc_id, md5(replace({CLEAN}, ' ', '')) AS plain_md5 FROM documents")
+def f35_plain(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.md5(T.plain("text").cast("binary")).alias("plain_md5"))

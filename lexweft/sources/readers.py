@@ -142,3 +142,13 @@ def marked_verdicts(lines: DataFrame, key: str, order: str, text: str, number: s
     joined = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(c, F.struct(order, text)))), lambda x: x[text]), " ")
     out = df.groupBy(key, "unit").agg(F.min_by(F.regexp_extract(t, number, 1), order).alias("number"), joined(F.col("since") == 0).alias("text"), joined(F.col("after").between(1, more + 1)).alias("verdict"))
     return out.select(key, "number", "text", "verdict")
+
+
+def imported(spark: SparkSession, catalog: list[tuple[str, str, str, str]]) -> DataFrame:
+    """(work, record as JSON) of every work of a catalog of (work, format, path, schema); a missing table is empty."""
+    out = None
+    for work, kind, path, schema in catalog:
+        df = tab_separated(spark, path, schema) if kind == "tsv" else json_lines(spark, path, schema, glob="*").drop(CORRUPT, "path")
+        part = df.select(F.lit(work).alias("work"), F.to_json(F.struct(*df.columns)).alias("record"))
+        out = part if out is None else out.unionByName(part)
+    return out
