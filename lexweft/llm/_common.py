@@ -34,9 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
     return known.get()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Computes df once and keeps it in the shared folder, so that later jobs survive lost executors and see one version."""
+def durable(df: DataFrame, few: bool = False) -> DataFrame:
+    """Computes df once and keeps it in the shared folder, so that later jobs survive lost executors and see one version.
+
+    few: df comes out of a shuffle, and is kept in about twice as many files as there are cores instead of one for each
+    shuffle partition; as many tasks run at once as otherwise.
+    """
     shared_dir(df.sparkSession)
+    if few:
+        df = df.coalesce(max(8, 2 * df.sparkSession.sparkContext.defaultParallelism))
     return df.checkpoint(eager=True)
 
 
@@ -83,6 +89,17 @@ def ship(spark: SparkSession) -> None:
     sc._lexweft_shipped = True
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(name: str) -> dict:
+    """What a Python worker keeps between batches and tasks of one kind; that of other kinds is dropped then."""
+    if name not in _CACHES:
+        _CACHES.clear()
+        _CACHES[name] = {}
+    return _CACHES[name]
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", rows: int = SLICE_ROWS, chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Arrow slices of bounded rows and characters, each with its texts as a list (None stays None)."""
     for batch in batches:

@@ -201,7 +201,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_t
     """Learns from at most max_texts texts that have a digit or @, labelled by the base patterns, and made-up spans in them."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     # A stretch around the first digit is enough of a text for learning; ids of at most max_texts rows are broadcast.
-    chosen = F.broadcast(durable(hash_order(slim.where(F.col("text").rlike("[0-9@]")), "id", max_texts, SEED)))
+    chosen = F.broadcast(durable(hash_order(slim.where(F.col("text").rlike("[0-9@]")), "id", max_texts, SEED), few=True))
 
     def kernel(texts):
         return [pa.array([[t[max(0, a - 40) : b + 40] for a, b in stretches(t or "")[:WINDOWS_PER_TEXT]] for t in texts], pa.list_(pa.string()))]

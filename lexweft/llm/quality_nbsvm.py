@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import durable, hash_order
+from ._common import durable, hash_order, worker_cache
 from .text_features import Rows, count_features, logistic, matrix, score_with, top_features
 
 #: Labelled rows of each class that are learned from, at most (chosen by a hash of the id).
@@ -28,8 +28,7 @@ EPOCHS, COST, SMOOTH = 12, 1.0, 1.0
 THRESHOLD = 0.5
 SEED = 5
 #: Shapes that a worker keeps.
-CACHE_WORDS = 500_000
-_SHAPES: dict[str, str] = {}
+CACHE_WORDS = 200_000
 
 
 def shape(word: str) -> str:
@@ -45,7 +44,7 @@ def featurize(text: str | None) -> set[str]:
     words = text.split() if text else []
     if not words:
         return {"blank"}
-    known = _SHAPES
+    known = worker_cache("shapes")
     if len(known) > CACHE_WORDS:
         known.clear()
     distinct = set(words)
@@ -111,10 +110,10 @@ def platt(margin: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, fl
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS) -> Model:
     """Learns from the rows of docs that labels (id_col, label_col) covers. An id with several labels counts with the least."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("y"))
-    known = durable(known.join(docs.select(id_col), id_col, "left_semi"))
+    known = durable(known.join(docs.select(id_col), id_col, "left_semi"), few=True)
     picks = [hash_order(known.where(c), id_col, max_rows, SEED).withColumn("y", F.lit(y)) for c, y in (("y = 1", 1), ("y <> 1", 0))]
     # At most 2 x max_rows rows of two numbers.
-    chosen = F.broadcast(durable(picks[0].unionByName(picks[1])))
+    chosen = F.broadcast(durable(picks[0].unionByName(picks[1]), few=True))
     sample = durable(docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(chosen, id_col).select("text", "y"))
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not n.get(1) or not n.get(0):

@@ -104,25 +104,26 @@ def _ratios(df: DataFrame) -> DataFrame:
 def thresholds(measured: DataFrame, group: list[str], min_group: int = MIN_GROUP, fence: float = FENCE) -> DataFrame:
     """For each group of measured texts: lo_ and hi_ of each ratio. group: from the widest column to the narrowest."""
     ratios = _ratios(measured.where(F.col("n_words") > 0))
-    base = durable(ratios.groupBy(*group).agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r).alias(r) for r in RATIOS]))
+    group = ["everything_", *group]
+    ratios = ratios.withColumn("everything_", F.lit(0))
+    base = durable(ratios.groupBy(*group).agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r).alias(r) for r in RATIOS]), few=True)
     merged = lambda keys: base.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(r).alias(r) for r in RATIOS])
     out = base
-    for k in range(len(group) - 1, -1, -1):  # a small group takes what its wider group has
+    for k in range(len(group) - 1, 0, -1):  # a small group takes what its wider group has
         wide = merged(group[:k]).withColumnsRenamed({c: f"w_{c}" for c in [*group[:k], "n", *RATIOS]})
-        on = [F.col(c).eqNullSafe(F.col(f"w_{c}")) for c in group[:k]]
-        out = out.join(wide, on, "left") if on else out.crossJoin(wide)  # without keys it is one row
+        out = out.join(wide, [F.col(c).eqNullSafe(F.col(f"w_{c}")) for c in group[:k]], "left")
         small = F.col("n") < min_group
         out = out.select(*group, F.when(small, F.col("w_n")).otherwise(F.col("n")).alias("n"), *[F.when(small, F.col(f"w_{r}")).otherwise(F.col(r)).alias(r) for r in RATIOS])
     for r, least in RATIOS.items():
         q1, q3 = (F.kll_sketch_get_quantile_double(F.col(r), F.lit(q)) for q in (0.25, 0.75))
         wide = F.lit(fence) * F.greatest(q3 - q1, F.lit(least))
         out = out.withColumns({f"lo_{r}": q1 - wide, f"hi_{r}": q3 + wide})
-    return out.select(*group, *itertools.chain.from_iterable((f"lo_{r}", f"hi_{r}") for r in RATIOS))
+    return out.select(*group[1:], *itertools.chain.from_iterable((f"lo_{r}", f"hi_{r}") for r in RATIOS))
 
 
 def judge(measured: DataFrame, limits: DataFrame, group: list[str], broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
     """measured with base_failed and kept: the base rules, then each ratio against its group's limits."""
-    limits = durable(limits.withColumnsRenamed({c: f"g_{c}" for c in group}))
+    limits = durable(limits.withColumnsRenamed({c: f"g_{c}" for c in group}), few=True)
     on = [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in group]
     if limits.limit(broadcast_groups + 1).count() <= broadcast_groups:
         joined = _ratios(measured).join(F.broadcast(limits), on, "left")

@@ -63,7 +63,7 @@ class _Active:
     def __call__(self, text: str | None) -> set[str]:
         out: set[str] = set()
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > 300_000:
             known.clear()
         for w in set(_WORD.findall(text.lower())) if text else ():
             f = known.get(w)
@@ -119,15 +119,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     An id with several labels counts as toxic if one of them says so.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("y"))
-    known = durable(known.join(docs.select(id_col), id_col, "left_semi"))
+    known = durable(known.join(docs.select(id_col), id_col, "left_semi"), few=True)
     prior = known.agg(F.avg("y")).first()[0] or 0.0
     prior = min(max(prior, 0.001), 0.9)
     confirmed = hash_order(known.where("y = 1"), id_col, max_positive, SEED).withColumn("y", F.lit(1))
     unlabelled = hash_order(docs, id_col, max_unlabelled, SEED + 1).withColumn("y", F.lit(0))
     # At most max_positive + max_unlabelled rows of two numbers.
-    chosen = F.broadcast(durable(confirmed.unionByName(unlabelled)))
+    chosen = F.broadcast(durable(confirmed.unionByName(unlabelled), few=True))
     sample = durable(docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(chosen, id_col).select("text", "y"))
-    sample = durable(_apart(sample))
+    sample = durable(_apart(sample), few=True)
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return Model({}, math.log(prior / (1 - prior)))
