@@ -22,15 +22,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
-from ._common import map_text
+from ._common import map_text, worker_cache
 
 END = "</w>"
 assert sys.byteorder == "little" and array("I").itemsize == 4  # ids travel as such bytes
 #: Distinct white-space separated chunks of which a worker keeps the ids; then it starts anew.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 700_000
 #: Pairs of tokens of which a worker keeps whether they may stand side by side.
 CACHE_PAIRS = 1_000_000
 
@@ -77,8 +76,7 @@ class WordBpe:
         self.inner_sizes, self.final_sizes = self._sizes(self.inner), self._sizes(self.final)
         self.may_follow: dict[tuple[int, int], bool] = {}
         self.bytes = byte_chars()
-        pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(pattern)
+        self.pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     @staticmethod
@@ -174,36 +172,73 @@ def lowered(text: str) -> str:
 
 #: Characters that str.split() takes for white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-WHITE = regex.compile(r"\s+")
+WHITE = re.compile(r"[^\S\x1c-\x1f]+")
+#: The pre-tokenizer's pattern that chunks of lower-case ASCII are cut by without the library.
+KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class TextEncoder:
-    """Texts to ids, with the ids of the chunks seen so far. One instance for each worker and vocabulary."""
+    """Texts to ids, with the ids of the chunks seen so far. One instance for each worker and vocabulary.
 
-    def __init__(self, path: str):
+    Chunks are cut into words by the tokenizer file's pre-tokenizer; new words are encoded by the trie, or (library) by the
+    tokenizers library.
+    """
+
+    def __init__(self, path: str, library: bool = False):
         self.bpe = WordBpe(path)
+        self.library = Library(path, self.bpe)
+        self.library_words = library
+        self.assigned: set[str] = set()  # characters seen so far that Python's Unicode tables know
         self.known: dict[str, bytes] = {}
         self.special = {t: array("I", [i]).tobytes() for t, i in self.bpe.special.items()}
 
     def learn(self, fresh: set[str]) -> None:
         """Encodes chunks (lower case, without white space) that have no ids yet. A chunk is one or more of the pre-tokenizer's words."""
-        bpe, table, known = self.bpe, self.bpe.bytes, self.known
-        split, unseen, words = bpe.pieces.findall, set(), {}
-        several = []
+        known = self.known
+        words, ended, several = [], [], []
         for chunk in fresh:
             if chunk.isalpha():
-                unseen.add(chunk)
+                words.append(chunk)
+            elif chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+                ended.append(chunk)
             else:
-                pieces = [chunk[:-1], chunk[-1]] if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha() else split(chunk)
-                several.append((chunk, pieces))
-                unseen.update(p for p in pieces if p not in known)
-        for word in unseen:
-            words[word if word.isascii() and word.isprintable() else "".join([table[b] for b in word.encode()])] = word
-        for mapped, ids in bpe.encode_words(words).items():
-            known[words[mapped]] = array("I", ids).tobytes()
+                several.append((chunk, self._pieces(chunk)))
+        unseen = {c[:-1] for c in ended}.difference(known)
+        unseen.update(words)
+        unseen.update(c[-1] for c in ended if c[-1] not in known)
+        unseen.update(p for _, pieces in several for p in pieces if p not in known)
+        self._encode(unseen)
+        for chunk in ended:
+            known[chunk] = known[chunk[:-1]] + known[chunk[-1]]
         for chunk, pieces in several:
             known[chunk] = b"".join([known[p] for p in pieces])
 
+    def _encode(self, unseen: set[str]) -> None:
+        """Encodes words of the pre-tokenizer."""
+        bpe, table, known = self.bpe, self.bpe.bytes, self.known
+        if self.library_words:
+            plain = [w for w in unseen if w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w))]
+            self.library.encode_words(plain, known)
+            unseen = unseen.difference(plain)
+        words = {w if w.isascii() and w.isprintable() else "".join([table[b] for b in w.encode()]): w for w in unseen}
+        for mapped, ids in bpe.encode_words(words).items():
+            known[words[mapped]] = array("I", ids).tobytes()
+
+    def _pieces(self, chunk: str) -> list[str]:
+        if chunk.isascii() and self.bpe.pattern == KNOWN_PATTERN:
+            return ASCII_PIECES.findall(chunk)
+        return self.library.pieces(chunk)
+
+    def _lowered(self, text: str) -> str:
+        if not text.isascii():
+            fresh = set(text).difference(self.assigned)
+            newer = {c for c in fresh if unicodedata.category(c) == "Cn"}
+            self.assigned |= fresh - newer
+            if newer:  # the tokenizer's tables may know them as letters, so it must see the text itself
+                return self.library.tokenizer.normalizer.normalize_str(text)
+        return lowered(text)
+
     def split(self, text: str) -> list[str]:
         return [c for c in WHITE.sub(" ", text).split(" ") if c] if ODD_SPACE.search(text) else text.split()
 
@@ -214,24 +249,49 @@ class TextEncoder:
         specials, rows = self.bpe.specials, []
         for text in texts:
             if text and specials and "<|" in text and specials.search(text):
-                rows.append([part if k % 2 else self.split(lowered(part)) for k, part in enumerate(specials.split(text))])
+                rows.append([part if k % 2 else self.split(self._lowered(part)) for k, part in enumerate(specials.split(text))])
             else:
-                rows.append(self.split(lowered(text or "")))
+                rows.append(self.split(self._lowered(text or "")))
         plain = [r for r in rows if not r or type(r[0]) is str] + [part for r in rows if r and type(r[0]) is list for part in r[::2]]
         self.learn(set(chain.from_iterable(plain)).difference(self.known))
         get, join = self.known.__getitem__, b"".join
         return [join(map(get, r)) if not r or type(r[0]) is str else join(self.special[p] if k % 2 else join(map(get, p)) for k, p in enumerate(r)) for r in rows]
 
 
-_ENCODERS: dict[str, TextEncoder] = {}
-
-
-def encoder(path: str) -> TextEncoder:
-    """The worker's encoder for this vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = TextEncoder(path)
-    return _ENCODERS[path]
+class Library:
+    """The tokenizers library on many words at once: one text of them, cut where a token ends a word."""
+
+    def __init__(self, path: str, bpe: WordBpe):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.ends = np.zeros(max(bpe.text_of) + 1, bool)
+        self.ends[[i for i, t in bpe.text_of.items() if t.endswith(END)]] = True
+
+    def pieces(self, chunk: str) -> list[str]:
+        """The pre-tokenizer's words of a chunk."""
+        return [chunk[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk)]
+
+    def encode_words(self, words: list[str], known: dict[str, bytes]) -> None:
+        """Puts each word's ids into known; words are of letters only, lower case and NFC."""
+        for start in range(0, len(words), 20_000):
+            part = words[start : start + 20_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(stops) != len(part):
+                raise ValueError("the vocabulary doesn't end each word once")
+            raw = ids.tobytes()
+            known.update(zip(part, [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
+
+
+def encoder(path: str, library: bool = False) -> TextEncoder:
+    """The worker's encoder for this vocabulary file; with the library's encoding of new words, or the trie's."""
+    known = worker_cache(f"bpe {path} {library}")
+    if not known:
+        known["encoder"] = TextEncoder(path, library)
+    return known["encoder"]
 
 
 def list_array(parts: list[bytes]) -> pa.ListArray:

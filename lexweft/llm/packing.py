@@ -82,7 +82,7 @@ def pack(df: DataFrame, path: str, keep: list[str], text_col: str = "text", size
     def run(batches):
         bins = OpenBins(size, open_bins, TaskContext.get().partitionId() << 33)
         for batch, texts in slices(batches):
-            rows = [ids + end for ids in encoder(path).encode(texts)]
+            rows = [ids + end for ids in encoder(path, library=True).encode(texts)]
             placed = list(pack_slice(bins, rows, size))
             at = pa.array([p[0] for p in placed], pa.int64())
             values = ([p[1] for p in placed], [p[2] for p in placed], [p[3] for p in placed], [rows[p[0]][4 * p[2] : 4 * (p[2] + p[3])] for p in placed], [p[4] for p in placed], [p[5] for p in placed])
