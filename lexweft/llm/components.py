@@ -29,10 +29,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     Each round is kept in the shared folder and makes no more rows than nodes and edges. Ends when a round changes
     nothing: then every edge goes from a node to its component's smallest.
     """
-    now = durable(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
+    now = durable(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct(), few=True)
     seen = None
     for _ in range(rounds):
-        now = durable(_small(_large(now)))
+        now = durable(_small(_large(now)), few=True)
         mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if tuple(mark) == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))

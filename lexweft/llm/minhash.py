@@ -4,9 +4,12 @@ A text's set is its distinct shingles of `size` words (ASCII white space between
 their sets' similarity is at least `percent` / 100. Texts with equal sets become one node first, so that a group of copies,
 however large, costs one node. Nodes with equal minima in a band meet in a bucket:
 
-1. every node of a bucket is compared with the bucket's smallest (no pairs within a group), links give components;
-2. where a bucket still holds several components, nodes of different components are compared. Nodes that are already
-   connected are not, so links that are left out join nothing new.
+1. every node of a bucket is compared with one hub, the node of the bucket that meets most others in all its buckets (in
+   a group of near copies, the text they were made from), not with each other; links give components;
+2. a hub leaves its bucket, as do buckets whose nodes are in one component by then. For the nodes of the others, pairs of
+   different components are found by prefix filtering of their sets (see _prefix_pairs), which loses none and makes no
+   pairs of texts that only share what many share. Nodes that are already connected are not compared, so links that are
+   left out join nothing new.
 
 A comparison looks at the signatures first (a pair that is far below the threshold ends there: five standard errors),
 then at the full sets. With BANDS x ROWS minima a pair at similarity 0.85 shares no bucket with probability 3e-7.
@@ -18,14 +21,15 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import durable, map_text, steady
+from ._common import durable, map_text, steady, worker_cache
 from .components import connected_components
 
 BANDS, ROWS = 32, 6
@@ -33,10 +37,7 @@ SEED = 20240229
 #: Ids up to which the nodes to compare are broadcast to the scan that fetches their sets; beyond, they are joined.
 BROADCAST_IDS = 1_000_000
 #: Distinct words of which a worker keeps the hash.
-CACHE_WORDS = 1_000_000
-
-_HASHES: dict[bytes, int] = {}
-
+CACHE_WORDS = 400_000
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
@@ -49,7 +50,7 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     words = text.encode().lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    known = _HASHES
+    known = worker_cache("minhash")
     try:
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     except KeyError:
@@ -126,48 +127,90 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     with_set = docs.where("n_shingles > 0")
     # One node for each set; a set's rows meet as one partial row for each task. min over the struct keeps id and row together.
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best")
-    nodes = durable(with_set.groupBy("d1", "d2").agg(best).select("d1", "d2", F.col("best.doc_id").alias("first_id"), F.col("best.uid").alias("node")))
-    rep = durable(nodes.select("node").join(with_set.select("uid", "n_shingles", "buckets", "sig"), F.col("node") == F.col("uid")).drop("uid"))
+    nodes = durable(with_set.groupBy("d1", "d2").agg(best).select("d1", "d2", F.col("best.doc_id").alias("first_id"), F.col("best.uid").alias("node")), few=True)
+    rep = durable(nodes.select("node").join(with_set.select("uid", "n_shingles", "buckets", "sig"), F.col("node") == F.col("uid")).drop("uid"), few=True)
     member = rep.select("node", F.posexplode("buckets").alias("band", "bucket"))
-    hub = member.groupBy("band", "bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("h_band"), F.col("bucket").alias("h_bucket"), "hub")
-    shared = durable(member.join(hub, (F.col("band") == F.col("h_band")) & (F.col("bucket") == F.col("h_bucket"))).select("node", "band", "bucket", "hub"))
-
-    stars = shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = durable(_confirmed(stars, rep, source, size, percent, bands * rows))
+    count = member.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("n_band"), F.col("bucket").alias("n_bucket"), "n")
+    shared = durable(member.join(count, (F.col("band") == F.col("n_band")) & (F.col("bucket") == F.col("n_bucket"))).select("node", "band", "bucket", "n"), few=True)
+    meets = shared.groupBy(F.col("node").alias("m_node")).agg(F.sum("n").alias("meets"))
+    left = shared.join(meets, F.col("node") == F.col("m_node")).select("node", "band", "bucket", "meets")
+    # Step 1: each node with its bucket's hub, which is then done with the bucket.
+    hub = left.groupBy("band", "bucket").agg(F.max_by("node", F.struct("meets", -F.col("node"))).alias("hub")).select(F.col("band").alias("h_band"), F.col("bucket").alias("h_bucket"), "hub")
+    left = durable(left.join(hub, (F.col("band") == F.col("h_band")) & (F.col("bucket") == F.col("h_bucket"))).where("node <> hub").select("node", "band", "bucket", "hub"), few=True)
+    stars = left.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    links = durable(_confirmed(stars, rep, _sets_of(source, size), percent, bands * rows), few=True)
     comp = connected_components(links)
-    label = lambda col: F.coalesce(col, F.col("node"))
-    placed = shared.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select("node", "band", "bucket", label(F.col("component")).alias("component"))
-    open_ = placed.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select(F.col("band").alias("o_band"), F.col("bucket").alias("o_bucket"))
-    left = durable(placed.join(open_, (F.col("band") == F.col("o_band")) & (F.col("bucket") == F.col("o_bucket"))).select("node", "band", "bucket", "component"))
+    # Step 2: what is left in buckets of several components.
+    left = durable(_several(left.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left")), few=True)
     if not left.isEmpty():
-        x, y = (left.select(*[F.col(c).alias(f"{p}_{c}") for c in left.columns]) for p in "xy")
-        cross = x.join(y, (F.col("x_band") == F.col("y_band")) & (F.col("x_bucket") == F.col("y_bucket")) & (F.col("x_component") < F.col("y_component")))
-        # Stars have been compared already.
-        pairs = cross.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-        more = durable(_confirmed(pairs, rep, source, size, percent, bands * rows))
-        if not more.isEmpty():
-            comp = connected_components(links.unionByName(more))
+        sets = durable(_sets_of(source, size)(left.select("node")))
+        new = durable(_confirmed(_prefix_pairs(left, sets, percent), rep, lambda _: sets, percent, bands * rows), few=True)
+        if not new.isEmpty():
+            comp = connected_components(links.unionByName(new))
+    label = lambda col: F.coalesce(col, F.col("node"))
     where = nodes.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select("d1", "d2", "first_id", "node", label(F.col("component")).alias("component"))
     least = where.groupBy("component").agg(F.min(F.struct(F.col("first_id").isNull().alias("last"), F.col("first_id").alias("id"), "node")).alias("best"), F.count("*").alias("n")).where("n > 1").select(F.col("component").alias("g"), "best")
-    sets = durable(where.join(least, F.col("component") == F.col("g"), "left").select("d1", "d2", F.coalesce("best.id", "first_id").alias("component_id"), F.coalesce("best.node", "node").alias("keeper")))
+    sets = durable(where.join(least, F.col("component") == F.col("g"), "left").select("d1", "d2", F.coalesce("best.id", "first_id").alias("component_id"), F.coalesce("best.node", "node").alias("keeper")), few=True)
     out = docs.select("uid", "doc_id", "n_shingles", "d1", "d2").join(sets.withColumnsRenamed({"d1": "s1", "d2": "s2"}), (F.col("n_shingles") > 0) & (F.col("d1") == F.col("s1")) & (F.col("d2") == F.col("s2")), "left")
     none = F.col("keeper").isNull()
     group = F.when(none, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", group.alias("component_id"), F.col("doc_id").eqNullSafe(group).alias("kept"), (none | (F.col("keeper") == F.col("uid"))).alias("first_of_group"), "uid")
 
 
-def _confirmed(pairs: DataFrame, rep: DataFrame, source: DataFrame, size: int, percent: int, count: int) -> DataFrame:
+def _several(rows: DataFrame) -> DataFrame:
+    """The nodes of buckets that hold more than one component, with their component."""
+    rows = rows.select("node", "band", "bucket", F.coalesce("component", F.col("node")).alias("component"))
+    open_ = rows.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select(F.col("band").alias("o_band"), F.col("bucket").alias("o_bucket"))
+    return rows.join(open_, (F.col("band") == F.col("o_band")) & (F.col("bucket") == F.col("o_bucket"))).select("node", "component").distinct()
+
+
+def _prefix_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes (node, component) of different components that can be similar enough.
+
+    With the shingles of all sets in one order, the rarest first, two sets that are so similar share one of their first
+    n - ceil(n x percent / 100) + 1. What many sets have in common comes last in that order, so a passage that many texts
+    share makes no pairs among texts that differ elsewhere.
+    """
+    each = sets.select("uid", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    # Kept, so that the join has an exchange of its own on either side, which may be split for a hot shingle.
+    df = durable(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), few=True)
+    order = Window.partitionBy("uid").orderBy("df", "shingle")
+    head = each.join(df, "shingle", "left").fillna({"df": 1}).withColumn("at", F.row_number().over(order)).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).where("df > 1")
+    head = durable(head.select("uid", "n", "shingle", "at").join(left, F.col("uid") == F.col("node")).select("node", "component", "n", "shingle", "at"), few=True)
+    several = head.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
+    head = head.join(several, "shingle", "left_semi")
+    x, y = (head.select("shingle", *[F.col(c).alias(f"{p}_{c}") for c in ("node", "component", "n", "at")]) for p in "xy")
+    # Of two sets the smaller one needs an even shorter part: what both must share is a share of both sizes. And what
+    # stands after the first shared shingle must suffice.
+    x = x.where(F.col("x_at") <= F.col("x_n") - F.ceil(F.col("x_n") * 2 * percent / (100 + percent)) + 1)
+    smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") < F.col("y_node")))
+    enough = (100 + percent) * (1 + F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))) >= percent * (F.col("x_n") + F.col("y_n"))
+    fits = smaller & (100 * F.col("x_n") >= percent * F.col("y_n")) & enough
+    pairs = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("x_component") != F.col("y_component")) & fits)
+    return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
+def _sets_of(source: DataFrame, size: int) -> Callable[[DataFrame], DataFrame]:
+    """For nodes (node): uid and shingles, from the texts."""
+
+    def fetch(ids: DataFrame) -> DataFrame:
+        ids = durable(ids.distinct(), few=True)
+        # Broadcast if so few; else both sides are dealt by the id.
+        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        return _shingle_sets(source.join(wanted, F.col("uid") == F.col("node"), "left_semi"), ["uid"], "text", size)
+
+    return fetch
+
+
+def _confirmed(pairs: DataFrame, rep: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, count: int) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets are similar enough; those with signatures far apart are left out first."""
     least = percent / 100 - 5 * math.sqrt(percent / 100 * (1 - percent / 100) / count)
     side = lambda p: rep.select(F.col("node").alias(p), F.col("n_shingles").alias(f"n_{p}"), F.col("sig").alias(f"sig_{p}"))
-    near = pairs.join(side("a"), "a").where(F.col("n_a") > 0).join(side("b"), "b")
+    near = pairs.join(side("a"), "a").join(side("b"), "b")
     equal = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda e: e))
     fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    near = durable(near.where(fits & (equal >= math.floor(least * count))).select("a", "b", "n_a", "n_b"))
-    ids = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
-    n = ids.count()
-    wanted = source.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, F.col("uid") == F.col("node"), "left_semi")
-    sets = durable(_shingle_sets(wanted, ["uid"], "text", size))
+    near = durable(near.where(fits & (equal >= math.floor(least * count))).select("a", "b", "n_a", "n_b"), few=True)
+    sets = fetch(near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))))
     full = near.join(sets.select(F.col("uid").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("uid").alias("b"), F.col("shingles").alias("set_b")), "b")
     both = F.size(F.array_intersect("set_a", "set_b"))
     return full.withColumn("both", both).where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
