@@ -47,7 +47,14 @@ def durable(df: DataFrame, few: bool = False) -> DataFrame:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, for a table that is dropped when the session's JVM ends."""
+    root = f"{shared_dir(spark)}/lexweft-{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        fs.mkdirs(place)
+        fs.deleteOnExit(place)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def steady(df: DataFrame) -> DataFrame:

@@ -43,7 +43,8 @@ def _place() -> Column:
 def _named(parts: DataFrame, key: list[str]) -> DataFrame:
     """parts (place, key...) with an integer `name` for each distinct key: the smallest place that has it."""
     several = parts.groupBy(*key).agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    several = several.withColumnsRenamed({c: f"r_{c}" for c in key})
+    # Kept, so that the join has an exchange of its own on either side, which adaptive execution may split for a hot key.
+    several = durable(several.withColumnsRenamed({c: f"r_{c}" for c in key}), few=True)
     on = [F.col(c).eqNullSafe(F.col(f"r_{c}")) if c != key[0] else F.col(c) == F.col(f"r_{c}") for c in key]
     return parts.join(several, on, "left").withColumn("name", F.coalesce("first", "place"))
 
@@ -59,7 +60,7 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
     first = cut.select("uid", F.greatest(F.size("blocks"), F.lit(1)).alias("total"), F.posexplode_outer("blocks").alias("pos", "block"))
     first = first.select("uid", "total", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("block", F.lit("")).alias("block"))
     first = first.withColumn("place", _place())
-    now = durable(_named(first, ["block"]).select("uid", "pos", "total", F.col("name").alias("name")))
+    now = durable(_named(first, ["block"]).select("uid", "pos", "total", "name"), few=True)
     level, done = 0, []
     while True:
         done.append(now.where("total = 1").select("uid", F.lit(level).alias("level"), "name"))
@@ -70,7 +71,7 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
         pairs = half.agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"), F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))).alias("b"))
         pairs = pairs.withColumn("place", _place())
         level += 1
-        now = durable(_named(pairs, ["a", "b"]).select("uid", "pos", "total", "name"))
+        now = durable(_named(pairs, ["a", "b"]).select("uid", "pos", "total", "name"), few=True)
     names = done[0]
     for d in done[1:]:
         names = names.unionByName(d)
@@ -81,9 +82,9 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(groups, texts): doc_id, keep_id, group_size, kept, text_sha256 and uid for each row; and df's rows with their uid."""
     rows, texts = identities(df, id_col, text_col, block)
-    rows = durable(rows)
+    rows = durable(rows, few=True)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best")
-    groups = rows.groupBy("level", "name").agg(best, F.count("*").alias("n")).where("n > 1").select(F.col("level").alias("g_level"), F.col("name").alias("g_name"), "best", "n")
+    groups = durable(rows.groupBy("level", "name").agg(best, F.count("*").alias("n")).where("n > 1").select(F.col("level").alias("g_level"), F.col("name").alias("g_name"), "best", "n"), few=True)
     out = rows.join(groups, (F.col("level") == F.col("g_level")) & (F.col("name") == F.col("g_name")), "left")
     single = F.col("n").isNull()
     out = out.select("doc_id", F.when(single, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), (single | (F.col("uid") == F.col("best.uid"))).alias("kept"), "text_sha256", "uid")

@@ -98,7 +98,7 @@ def update(versions: DataFrame, path: str, text_col: str = "text", version: str
         seen = known.where(F.col("rule_version") == version).select(F.col("blob").alias("seen"))
         blobs = blobs.join(seen, F.col("blob") == F.col("seen"), "left_anti")
     _scan(blobs).withColumn("rule_version", F.lit(version)).write.mode("append").parquet(path)
-    return spark.read.parquet(path).where(F.col("rule_version") == version).dropDuplicates(["blob"])
+    return spark.read.parquet(path).where(F.col("rule_version") == version)
 
 
 def scan(versions: DataFrame, keep: list[str], text_col: str = "text", path: str | None = None) -> DataFrame:
