@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df in spark.checkpoint.dir; a temporary folder is set only where none is (local runs)."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> None:
+    """Sees to it that checkpoints have a folder: spark.checkpoint.dir, or a temporary one where none is set (local runs)."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexweft-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexweft-"))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

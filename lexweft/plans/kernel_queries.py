@@ -15,8 +15,15 @@ from .match_queries import _verse_hits
 
 
 def shared_path(spark, name: str) -> str:
-    graph.checkpointed(spark.range(1))
-    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share, for a table that is dropped when the session's JVM ends."""
+    graph.shared_folder(spark)
+    root = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/queries-{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        fs.mkdirs(place)
+        fs.deleteOnExit(place)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT doc_id, lang, source, md5(text) AS md5 FROM documents")
