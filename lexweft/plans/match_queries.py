@@ -28,17 +28,16 @@ LOOSE = f"""model AS {MODEL}, terms AS (SELECT q, set_size, need, win, unnest(li
 
 
 def _model(spark, sf):
-    posts = S.postings(table(spark, sf, "documents"))
-    return M.query_model(table(spark, sf, "benchmark"), "item_id", "text", M.common_terms(posts)), posts
+    return M.query_model(table(spark, sf, "benchmark"), "item_id", "text", M.common_terms(table(spark, sf, "documents")))
 
 
 def _loose(spark, sf):
-    return M.loose_matches(*_model(spark, sf))
+    return M.loose_matches(_model(spark, sf), table(spark, sf, "documents"))
 
 
 @query(f"SELECT q, all_n, len(w) AS n_words, set_size, need, win AS window_size, set_size < 3 AS short FROM {MODEL}")
 def m0_query_model(spark, sf):
-    m, _ = _model(spark, sf)
+    m = _model(spark, sf)
     return m.select("q", F.col("all_n").cast("long").alias("all_n"), F.size("words").cast("long").alias("n_words"), F.col("set_size").cast("long").alias("set_size"), "need", F.col("window").cast("long").alias("window_size"), (F.col("set_size") < 3).alias("short"))
 
 

@@ -52,7 +52,7 @@ def test_loose_score_is_the_sweep(spark):
     queries = spark.createDataFrame([(1, "the light of lamp in glass"), (2, "of the"), (3, "one")], "item_id long, text string")
     texts = ["a lamp gives light and the lamp in a glass of light lamp glass", "of the the of", "one two one", "glass lamp light in", "in glass in lamp " * 20 + "light lamp in glass", ""]
     model = match.query_model(queries, "item_id", "text", stop)
-    got = {(r["q"], r["uid"]): r for r in match.loose_matches(model, search.postings(docs(spark, *texts)), 0, 1).collect()}
+    got = {(r["q"], r["uid"]): r for r in match.loose_matches(model, docs(spark, *texts), num=0, den=1).collect()}
     for m in model.collect():
         for uid, t in enumerate(texts):
             want = sweep(m["words"], t.split(), m["window"], m["need"])
