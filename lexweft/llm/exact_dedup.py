@@ -44,7 +44,7 @@ def _named(parts: DataFrame, key: list[str]) -> DataFrame:
     """parts (place, key...) with an integer `name` for each distinct key: the smallest place that has it."""
     several = parts.groupBy(*key).agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     # Kept, so that the join has an exchange of its own on either side, which adaptive execution may split for a hot key.
-    several = durable(several.withColumnsRenamed({c: f"r_{c}" for c in key}), few=True)
+    several = durable(several.withColumnsRenamed({c: f"r_{c}" for c in key}))
     on = [F.col(c).eqNullSafe(F.col(f"r_{c}")) if c != key[0] else F.col(c) == F.col(f"r_{c}") for c in key]
     return parts.join(several, on, "left").withColumn("name", F.coalesce("first", "place"))
 
@@ -60,7 +60,7 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
     first = cut.select("uid", F.greatest(F.size("blocks"), F.lit(1)).alias("total"), F.posexplode_outer("blocks").alias("pos", "block"))
     first = first.select("uid", "total", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("block", F.lit("")).alias("block"))
     first = first.withColumn("place", _place())
-    now = durable(_named(first, ["block"]).select("uid", "pos", "total", "name"), few=True)
+    now = durable(_named(first, ["block"]).select("uid", "pos", "total", "name"))
     level, done = 0, []
     while True:
         done.append(now.where("total = 1").select("uid", F.lit(level).alias("level"), "name"))
