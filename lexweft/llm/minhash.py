@@ -128,10 +128,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # One node for each set; a set's rows meet as one partial row for each task. min over the struct keeps id and row together.
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best")
     nodes = durable(with_set.groupBy("d1", "d2").agg(best).select("d1", "d2", F.col("best.doc_id").alias("first_id"), F.col("best.uid").alias("node")), few=True)
-    rep = durable(nodes.select("node").join(with_set.select("uid", "n_shingles", "buckets", "sig"), F.col("node") == F.col("uid")).drop("uid"), few=True)
+    rep = durable(nodes.select("node").join(with_set.select("uid", "n_shingles", "buckets", "sig"), F.col("node") == F.col("uid")).drop("uid"))
     member = rep.select("node", F.posexplode("buckets").alias("band", "bucket"))
     count = member.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("n_band"), F.col("bucket").alias("n_bucket"), "n")
-    shared = durable(member.join(count, (F.col("band") == F.col("n_band")) & (F.col("bucket") == F.col("n_bucket"))).select("node", "band", "bucket", "n"), few=True)
+    shared = durable(member.join(count, (F.col("band") == F.col("n_band")) & (F.col("bucket") == F.col("n_bucket"))).select("node", "band", "bucket", "n"))
     meets = shared.groupBy(F.col("node").alias("m_node")).agg(F.sum("n").alias("meets"))
     left = shared.join(meets, F.col("node") == F.col("m_node")).select("node", "band", "bucket", "meets")
     # Step 1: each node with its bucket's hub, which is then done with the bucket.
@@ -173,12 +173,12 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     each = sets.select("uid", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     # Kept, so that the join has an exchange of its own on either side, which may be split for a hot shingle.
-    df = durable(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), few=True)
+    df = durable(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"))
     order = Window.partitionBy("uid").orderBy("df", "shingle")
     head = each.join(df, "shingle", "left").fillna({"df": 1}).withColumn("at", F.row_number().over(order)).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).where("df > 1")
-    head = durable(head.select("uid", "n", "shingle", "at").join(left, F.col("uid") == F.col("node")).select("node", "component", "n", "shingle", "at"), few=True)
-    several = head.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
-    head = head.join(several, "shingle", "left_semi")
+    head = durable(head.select("uid", "n", "shingle", "at").join(left, F.col("uid") == F.col("node")).select("node", "component", "n", "shingle", "at"))
+    several = durable(head.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle"), few=True)
+    head = durable(head.join(several, "shingle", "left_semi"))
     x, y = (head.select("shingle", *[F.col(c).alias(f"{p}_{c}") for c in ("node", "component", "n", "at")]) for p in "xy")
     # Of two sets the smaller one needs an even shorter part: what both must share is a share of both sizes. And what
     # stands after the first shared shingle must suffice.
