@@ -37,8 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
 def durable(df: DataFrame, few: bool = False) -> DataFrame:
     """Computes df once and keeps it in the shared folder, so that later jobs survive lost executors and see one version.
 
-    few: df comes out of a shuffle, and is kept in about twice as many files as there are cores instead of one for each
-    shuffle partition; as many tasks run at once as otherwise.
+    few: df comes out of a shuffle and is small beside the documents (links, labels, counts of groups); it is kept in about
+    twice as many files as there are cores instead of one for each shuffle partition.
     """
     shared_dir(df.sparkSession)
     if few:

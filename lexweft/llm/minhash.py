@@ -127,7 +127,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     with_set = docs.where("n_shingles > 0")
     # One node for each set; a set's rows meet as one partial row for each task. min over the struct keeps id and row together.
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best")
-    nodes = durable(with_set.groupBy("d1", "d2").agg(best).select("d1", "d2", F.col("best.doc_id").alias("first_id"), F.col("best.uid").alias("node")), few=True)
+    nodes = durable(with_set.groupBy("d1", "d2").agg(best).select("d1", "d2", F.col("best.doc_id").alias("first_id"), F.col("best.uid").alias("node")))
     rep = durable(nodes.select("node").join(with_set.select("uid", "n_shingles", "buckets", "sig"), F.col("node") == F.col("uid")).drop("uid"))
     member = rep.select("node", F.posexplode("buckets").alias("band", "bucket"))
     count = member.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("n_band"), F.col("bucket").alias("n_bucket"), "n")
@@ -136,7 +136,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     left = shared.join(meets, F.col("node") == F.col("m_node")).select("node", "band", "bucket", "meets")
     # Step 1: each node with its bucket's hub, which is then done with the bucket.
     hub = left.groupBy("band", "bucket").agg(F.max_by("node", F.struct("meets", -F.col("node"))).alias("hub")).select(F.col("band").alias("h_band"), F.col("bucket").alias("h_bucket"), "hub")
-    left = durable(left.join(hub, (F.col("band") == F.col("h_band")) & (F.col("bucket") == F.col("h_bucket"))).where("node <> hub").select("node", "band", "bucket", "hub"), few=True)
+    left = durable(left.join(hub, (F.col("band") == F.col("h_band")) & (F.col("bucket") == F.col("h_bucket"))).where("node <> hub").select("node", "band", "bucket", "hub"))
     stars = left.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = durable(_confirmed(stars, rep, _sets_of(source, size), percent, bands * rows), few=True)
     comp = connected_components(links)
@@ -150,7 +150,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     label = lambda col: F.coalesce(col, F.col("node"))
     where = nodes.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select("d1", "d2", "first_id", "node", label(F.col("component")).alias("component"))
     least = where.groupBy("component").agg(F.min(F.struct(F.col("first_id").isNull().alias("last"), F.col("first_id").alias("id"), "node")).alias("best"), F.count("*").alias("n")).where("n > 1").select(F.col("component").alias("g"), "best")
-    sets = durable(where.join(least, F.col("component") == F.col("g"), "left").select("d1", "d2", F.coalesce("best.id", "first_id").alias("component_id"), F.coalesce("best.node", "node").alias("keeper")), few=True)
+    sets = durable(where.join(least, F.col("component") == F.col("g"), "left").select("d1", "d2", F.coalesce("best.id", "first_id").alias("component_id"), F.coalesce("best.node", "node").alias("keeper")))
     out = docs.select("uid", "doc_id", "n_shingles", "d1", "d2").join(sets.withColumnsRenamed({"d1": "s1", "d2": "s2"}), (F.col("n_shingles") > 0) & (F.col("d1") == F.col("s1")) & (F.col("d2") == F.col("s2")), "left")
     none = F.col("keeper").isNull()
     group = F.when(none, F.col("doc_id")).otherwise(F.col("component_id"))
