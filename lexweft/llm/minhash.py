@@ -138,13 +138,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hub = left.groupBy("band", "bucket").agg(F.max_by("node", F.struct("meets", -F.col("node"))).alias("hub")).select(F.col("band").alias("h_band"), F.col("bucket").alias("h_bucket"), "hub")
     left = durable(left.join(hub, (F.col("band") == F.col("h_band")) & (F.col("bucket") == F.col("h_bucket"))).where("node <> hub").select("node", "band", "bucket", "hub"))
     stars = left.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    links = durable(_confirmed(stars, rep, _sets_of(source, size), percent, bands * rows), few=True)
+    links = durable(_confirmed(stars, rep, _sets_of(source, size), percent, bands * rows))
     comp = connected_components(links)
     # Step 2: what is left in buckets of several components.
     left = durable(_several(left.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left")), few=True)
     if not left.isEmpty():
         sets = durable(_sets_of(source, size)(left.select("node")))
-        new = durable(_confirmed(_prefix_pairs(left, sets, percent), rep, lambda _: sets, percent, bands * rows), few=True)
+        new = durable(_confirmed(_prefix_pairs(left, sets, percent), rep, lambda _: sets, percent, bands * rows))
         if not new.isEmpty():
             comp = connected_components(links.unionByName(new))
     label = lambda col: F.coalesce(col, F.col("node"))
@@ -209,7 +209,7 @@ def _confirmed(pairs: DataFrame, rep: DataFrame, fetch: Callable[[DataFrame], Da
     near = pairs.join(side("a"), "a").join(side("b"), "b")
     equal = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda e: e))
     fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    near = durable(near.where(fits & (equal >= math.floor(least * count))).select("a", "b", "n_a", "n_b"), few=True)
+    near = durable(near.where(fits & (equal >= math.floor(least * count))).select("a", "b", "n_a", "n_b"))
     sets = fetch(near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))))
     full = near.join(sets.select(F.col("uid").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("uid").alias("b"), F.col("shingles").alias("set_b")), "b")
     both = F.size(F.array_intersect("set_a", "set_b"))
