@@ -57,15 +57,44 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def steady(df: DataFrame) -> DataFrame:
-    """df itself if it only reads files, whose rows come in the same order each time; else a copy in the shared folder."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    nodes = {re.sub(r"^[\s:+-]+", "", line).split(" ")[0] for line in plan.splitlines() if line.strip()}
-    if nodes <= {"Project", "Filter", "Relation"}:
-        return df
-    path = fresh_path(df.sparkSession, "texts")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def row_ids() -> Column:
+    """A number for each row: 20 bits of task, 24 of row in the task. It is only the same in another job if it is kept."""
+    raw = F.monotonically_increasing_id()
+    task, row = F.shiftright(raw, 33), raw.bitwiseAND(F.lit((1 << 33) - 1))
+    return F.when((task < 1 << 20) & (row < 1 << 24), F.shiftleft(task, 24) + row).otherwise(F.raise_error(F.lit("too many rows in a task, or tasks")).cast("long"))
+
+
+def _parquet_only(df: DataFrame) -> bool:
+    """Whether df is a selection of columns and rows of Parquet files, each read once."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    lines = [re.sub(r"^[\s:+-]+", "", line) for line in plan.toString().splitlines() if line.strip()]
+    if not {line.split(" ")[0] for line in lines} <= {"Project", "Filter", "Relation"} or not lines[-1].endswith(" parquet") or not plan.deterministic():
+        return False
+    files = list(plan.collectLeaves().head().relation().location().inputFiles())
+    return len(set(files)) == len(files)
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df and a column `name` with a number under 2^44 for each row, the same in every job, however the files are split then.
+
+    A row of a Parquet file has its place in the file, after the rows of the files before; anything else is written to the
+    shared folder with its numbers first.
+    """
+    if not _parquet_only(df):
+        path = fresh_path(df.sparkSession, "texts")
+        df.withColumn(name, row_ids()).write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+    at = df.metadataColumn("_metadata")
+    placed = df.select("*", at["row_index"].alias(name), at["file_path"].alias(f"{name}file"))
+    sizes = placed.groupBy(f"{name}file").agg(F.max(name).alias("n")).collect()
+    starts, start = [], 0
+    for path, n in sorted(tuple(r) for r in sizes):
+        starts.append((path, start))
+        start += n + 1
+    # One row for each file, which the driver has listed already.
+    first = F.broadcast(df.sparkSession.createDataFrame(starts, f"`{name}from` string, `{name}start` long"))
+    out = placed.join(first, F.col(f"{name}file") == F.col(f"{name}from"))
+    return out.select(*[out[c] for c in df.columns], (F.col(name) + F.col(f"{name}start")).alias(name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,7 +8,8 @@ if and only if their last names, and the rounds that these took, are equal: no h
 
 Hot blocks: a block's copies meet only as one partial row for each task (the smallest position and a count); they get their
 name by a join whose other side has one row for each repeated block, a join that adaptive execution may split anywhere.
-Rounds are kept in the shared folder, so positions and names stay the same if executors are lost.
+Rows are numbered by their place in the files and rounds are kept in the shared folder, so positions and names stay the
+same if executors join late or are lost.
 
 Null texts count as empty, empty ones are equal to each other, null ids sort last, and of rows with the same id and text
 one is kept.
@@ -19,9 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import durable, steady
+from ._common import durable, numbered
 
 BLOCK = 4096
+#: The column of the rows' numbers beside df's own columns.
+UID = "dedup_uid_"
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -29,14 +32,8 @@ def normalised(col: Column) -> Column:
     return F.regexp_replace(F.coalesce(col.cast("string"), F.lit("")), WHITE, " ")
 
 
-def row_ids() -> Column:
-    """A number for each row: 20 bits of task, 24 of row in the task. With 19 bits of block (2 GB of text) a place fits a long."""
-    raw = F.monotonically_increasing_id()
-    task, row = F.shiftright(raw, 33), raw.bitwiseAND(F.lit((1 << 33) - 1))
-    return F.when((task < 1 << 20) & (row < 1 << 24), F.shiftleft(task, 24) + row).otherwise(F.raise_error(F.lit("too many rows in a task, or tasks")).cast("long"))
-
-
 def _place() -> Column:
+    """With 19 bits of block (2 GB of text) and 44 of row a place fits a long."""
     return F.shiftleft("uid", 19) + F.col("pos")
 
 
@@ -50,13 +47,13 @@ def _named(parts: DataFrame, key: list[str]) -> DataFrame:
 
 
 def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(rows, texts): for each row its number `uid`, id, text_sha256 and its text's identity (level, name); and df's rows with that uid.
+    """(rows, texts): for each row its number `uid`, id, text_sha256 and its text's identity (level, name); and df's rows with that number as UID.
 
     The identity is one for all equal texts and for no others.
     """
-    texts = steady(df).withColumn("uid", row_ids())
+    texts = numbered(df, UID)
     text = normalised(F.col(text_col))
-    cut = texts.select("uid", F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0)).alias("blocks"))
+    cut = texts.select(F.col(UID).alias("uid"), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0)).alias("blocks"))
     first = cut.select("uid", F.greatest(F.size("blocks"), F.lit(1)).alias("total"), F.posexplode_outer("blocks").alias("pos", "block"))
     first = first.select("uid", "total", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("block", F.lit("")).alias("block"))
     first = first.withColumn("place", _place())
@@ -75,12 +72,12 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
     names = done[0]
     for d in done[1:]:
         names = names.unionByName(d)
-    rows = texts.select("uid", F.col(id_col).alias("doc_id"), F.sha2(text, 256).alias("text_sha256"))
+    rows = texts.select(F.col(UID).alias("uid"), F.col(id_col).alias("doc_id"), F.sha2(text, 256).alias("text_sha256"))
     return rows.join(names, "uid"), texts
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(groups, texts): doc_id, keep_id, group_size, kept, text_sha256 and uid for each row; and df's rows with their uid."""
+    """(groups, texts): doc_id, keep_id, group_size, kept, text_sha256 and uid for each row; and df's rows with that number as UID."""
     rows, texts = identities(df, id_col, text_col, block)
     rows = durable(rows)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best")
@@ -95,6 +92,6 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """df without the later copies, with df's columns."""
     groups, texts = dedup(df, id_col, text_col)
     dropped = groups.where("not kept").select(F.col("uid").alias("dropped_uid"))
-    return texts.join(dropped, F.col("uid") == F.col("dropped_uid"), "left_anti").select(*df.columns)
+    return texts.join(dropped, F.col(UID) == F.col("dropped_uid"), "left_anti").select(*df.columns)
 
 

@@ -29,11 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import durable, map_text, steady, worker_cache
+from ._common import durable, map_text, numbered, worker_cache
 from .components import connected_components
 
 BANDS, ROWS = 32, 6
 SEED = 20240229
+#: The column of the rows' numbers beside df's own columns.
+UID = "near_uid_"
 #: Ids up to which the nodes to compare are broadcast to the scan that fetches their sets; beyond, they are joined.
 BROADCAST_IDS = 1_000_000
 #: Distinct words of which a worker keeps the hash.
@@ -120,9 +122,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """For each row: doc_id, n_shingles, component_id (the smallest id it is linked with, over any number of links), kept
     (whether that is its own id), first_of_group (true for one row of each group, also where ids are repeated or null) and uid.
 
-    uid is the row's monotonically_increasing_id; a df that doesn't just read files is written to the shared folder first.
+    uid is the row's number, the same in all jobs (see numbered).
     """
-    source = steady(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("uid", F.monotonically_increasing_id())
+    return _near_duplicates(numbered(df, UID), id_col, text_col, size, percent, bands, rows)
+
+
+def _near_duplicates(df: DataFrame, id_col: str, text_col: str, size: int = 3, percent: int = 85, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    source = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(UID).alias("uid"))
     docs = durable(signatures(source, ["uid", "doc_id"], "text", size, bands, rows))
     with_set = docs.where("n_shingles > 0")
     # One node for each set; a set's rows meet as one partial row for each task. min over the struct keeps id and row together.
@@ -218,7 +224,7 @@ def _confirmed(pairs: DataFrame, rep: DataFrame, fetch: Callable[[DataFrame], Da
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """df with one row of each group of near-duplicates, with df's columns."""
-    df = steady(df)
-    out = near_duplicates(df, id_col, text_col, **parameters)
+    texts = numbered(df, UID)
+    out = _near_duplicates(texts, id_col, text_col, **parameters)
     dropped = out.where("not first_of_group").select(F.col("uid").alias("dropped_uid"))
-    return df.withColumn("dedup_uid_", F.monotonically_increasing_id()).join(dropped, F.col("dedup_uid_") == F.col("dropped_uid"), "left_anti").select(*df.columns)
+    return texts.join(dropped, F.col(UID) == F.col("dropped_uid"), "left_anti").select(*df.columns)

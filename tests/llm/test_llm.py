@@ -238,6 +238,41 @@ def test_minhash_odd_inputs(docs, empty, spark):
     assert sorted(tuple(r) for r in minhash.keep_one(df).collect()) == [(1, "a b c d", 1), (3, "q", 3)]
 
 
+@pytest.fixture
+def resplit(spark, tmp_path, monkeypatch):
+    """One Parquet file of many row groups, whose splits change before each kept frame, as when executors come and go."""
+    names, texts = list(range(1500)), [prose(40, i % 1000) for i in range(1500)]
+    path, old = str(tmp_path / "rows"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    df = spark.createDataFrame(list(zip(names, texts, strict=True)), SCHEMA.split(", lang")[0]).coalesce(1)
+    df.write.option("parquet.block.size", 8192).parquet(path)
+    calls = []
+
+    def moving(keep):
+        def durable(*args, **kw):
+            calls.append(1)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", ["20k", "128m"][len(calls) % 2])
+            return keep(*args, **kw)
+
+        return durable
+
+    for module in (exact_dedup, minhash):
+        monkeypatch.setattr(module, "durable", moving(module.durable))
+    yield spark.read.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_row_numbers_do_not_follow_the_splits(spark, resplit):
+    kept = set(range(1000))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    assert resplit.rdd.getNumPartitions() > 3
+    out = exact_dedup.dedup(resplit)[0].collect()
+    assert len(out) == 1500 and {r["doc_id"] for r in out if r["kept"]} == kept and all(r["keep_id"] == r["doc_id"] % 1000 for r in out)
+    assert sorted(r["doc_id"] for r in exact_dedup.keep_first(resplit).collect()) == sorted(kept)
+    near = minhash.near_duplicates(resplit).collect()
+    assert len(near) == 1500 and all(r["component_id"] == r["doc_id"] % 1000 for r in near)
+    assert sorted(r["doc_id"] for r in minhash.keep_one(resplit).collect()) == sorted(kept)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (100, 102)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.connected_components(edges).collect()}
