@@ -5,8 +5,9 @@ two classes; a linear hinge-loss model over them is fitted by dual coordinate de
 training margins turns a margin into a score.
 
 A word's shape has one letter for each run of capitals (A), other letters (a) and digits (0), and its other characters
-once for each run; a run of equal words is a feature too. A null or blank text has one feature that says so. If the labels
-are of one class only, the score is that class for all.
+once for each run; four equal words in a row are a feature too. A word of more than LONG characters (a text without
+spaces is one) has no feature of its own but those of all its parts: runs of three characters, and of four in its shape.
+A null or blank text has one feature that says so. If the labels are of one class only, the score is that class for all.
 """
 
 from __future__ import annotations
@@ -27,16 +28,20 @@ MAX_FEATURES, LEAST_ROWS = 20_000, 8
 EPOCHS, COST, SMOOTH = 12, 1.0, 1.0
 THRESHOLD = 0.5
 SEED = 5
-#: Shapes that a worker keeps.
-CACHE_WORDS = 200_000
+#: Characters up to which a word is a feature as a whole.
+LONG = 12
+#: Shapes that a worker keeps, and the characters of a word up to which it keeps them.
+CACHE_WORDS, CACHE_CHARS = 200_000, 64
 
 
 def shape(word: str) -> str:
     out = ""
-    for c in word[:64]:
+    last = ""
+    for c in word:
         c = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        if not out or out[-1] != c:
+        if c != last:
             out += c
+            last = c
     return out
 
 
@@ -48,12 +53,21 @@ def featurize(text: str | None) -> set[str]:
     if len(known) > CACHE_WORDS:
         known.clear()
     distinct = set(words)
+    long = {}
     for w in distinct.difference(known):
-        known[w] = shape(w)
-    shapes = [known[w] for w in words]
-    out = {f"w {w.lower()}" for w in distinct if len(w) <= 12}
-    out.update(f"1 {s}" for s in set(shapes))
-    out.update(f"2 {a} {b}" for a, b in set(zip(shapes, shapes[1:], strict=False)))
+        if len(w) <= CACHE_CHARS:
+            known[w] = shape(w)
+        else:
+            long[w] = shape(w)
+    shapes = [known[w] if w in known else long[w] for w in words]
+    out = {f"w {w.lower()}" for w in distinct if len(w) <= LONG}
+    for w in distinct:
+        if len(w) > LONG:
+            low, s = w.lower(), known[w] if w in known else long[w]
+            out.update(f"c {p}" for p in {low[i : i + 3] for i in range(len(low) - 2)})
+            out.update(f"s {p}" for p in {s[i : i + 4] for i in range(max(1, len(s) - 3))})
+    for n in (1, 2, 3, 4):
+        out.update(f"{n} {' '.join(run)}" for run in set(zip(*(shapes[k:] for k in range(n)), strict=False)))
     if len(distinct) < len(words):
         for a, b, c, d in zip(words, words[1:], words[2:], words[3:], strict=False):
             if a == b == c == d:

@@ -349,6 +349,17 @@ def test_quality_classifier(spark, docs, empty):
 # ---- packing
 
 
+def test_quality_features_are_those_of_the_whole_text():
+    f = quality_nbsvm.featurize
+    assert quality_nbsvm.shape("a" * 64 + "9-9") == "a0-0"
+    head = "你好世界" * 20
+    assert "c 再见吧" in f(head + "再见吧") and f(head + "再见吧") != f(head + "好极了")
+    assert "c abc" in f("x" * 5000 + "abc") and "s a0-0" in f("x" * 5000 + "9-9")
+    assert {"1 a", "2 a 0", "3 a 0 A", "4 a 0 A -"} <= f("one 2 THREE -") and "w one" in f("one 2 THREE -")
+    words = prose(50, 3)
+    assert {x for x in f(words) if x[0] == "3"} == {f"3 {quality_nbsvm.shape(a)} {quality_nbsvm.shape(b)} {quality_nbsvm.shape(c)}" for a, b, c in zip(words.split(), words.split()[1:], words.split()[2:], strict=False)}
+
+
 def test_open_bins_are_best_fit():
     r = random.Random(1)
     bins, free = packing.OpenBins(50, 8), {}
