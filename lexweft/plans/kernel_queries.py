@@ -7,7 +7,7 @@ import uuid
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..functions import kernels as K
+from ..functions import kernels as K, text as T
 from ..operators import collate as C, graph, match as M, search as S
 from ..sources import readers, sinks
 from ._register import posts_sql, query, table
@@ -255,17 +255,36 @@ def w3_differences(spark, sf):
 
 @query()
 def w9_readings(spark, sf):
-    """Readings of the documents of each group of equal length in words by majority and lexicon."""
-    lexicon = S.vocabulary(S.postings(table(spark, sf, "benchmark"), "item_id")).where("freq >= 2")
-    pairs = M.jaccard_pairs(M.gram_table(table(spark, sf, "documents"), "doc_id", "text", 5), 80).select("a", "b")
+    """Rules behind the readings of documents of 15 words or more, each from all documents that are 80 per cent alike.
+
+    Those that are 93 per cent alike are one family, over any number of links, and have one vote together.
+    """
+    surface = lambda c: F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    spelling = lambda c: F.transform(surface(c), lambda w: F.concat(F.lit("="), w))
+    b = table(spark, sf, "benchmark")
+    lexicon = S.vocabulary(S.postings(b, "item_id")).select("term", "freq").union(b.select(F.explode(spelling("text")).alias("term")).groupBy("term").agg(F.count("*").alias("freq"))).where("freq >= 2")
+    found = graph.checkpointed(M.jaccard_pairs(M.gram_table(table(spark, sf, "documents"), "doc_id", "text", 5), 80))
+    family = graph.components(found.where(100 * F.col("votes") >= 93 * (F.col("n_a") + F.col("n_b") - F.col("votes"))).select("a", "b"))
+    pairs = found.select("a", "b").union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = pairs.join(family.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", F.coalesce("component", "b").alias("family"))
     t = table(spark, sf, "documents").select("doc_id", "text")
-    sides = pairs.join(t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    # Each pair takes along what the lexicon says of its own words, so nothing is gathered from all of it.
-    used = sides.select("a", "b", F.explode(F.array_distinct(F.concat(F.split("ta", r"\s+"), F.split("tb", r"\s+")))).alias("term")).join(lexicon, "term")
-    known = used.groupBy("a", "b").agg(F.map_from_entries(F.collect_list(F.struct("term", "freq"))).alias("known"))
-    rules = K.column(lambda x, y, known: [r for _, r in C.reading((x or "").split(), [(y or "").split()], dict(known or {}))[1]], "array<string>", F.col("ta"), F.col("tb"), F.col("known"))
-    sides = sides.join(known, ["a", "b"], "left")
-    return sides.select("a", F.explode(rules).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"), F.countDistinct("a").alias("docs"))
+    records = t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).where(F.size(surface("ta")) >= 15)
+    sides = pairs.join(records, "a").join(t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+    named = lambda x, y: [dict(zip(("tag", "i", "j", "words"), e, strict=True)) for e in C.edits(x, y)]
+    ops = K.column(named, "array<struct<tag:string,i:int,j:int,words:array<string>>>", F.col("ta"), F.col("tb"))
+    witnesses = sides.select("a", F.struct("b", "family", ops.alias("ops")).alias("w")).groupBy("a").agg(F.collect_list("w").alias("witnesses"))
+    # Each record takes along what the lexicon says of its own and its witnesses' words, so nothing is gathered from all of it.
+    terms = F.array_distinct(F.concat(T.tokens("ta"), T.tokens("tb"), spelling("tb")))
+    used = sides.select("a", F.explode(terms).alias("term")).distinct().join(lexicon, "term")
+    known = used.groupBy("a").agg(F.map_from_entries(F.collect_list(F.struct("term", "freq"))).alias("known"))
+    row = records.join(witnesses, "a").join(known, "a", "left")
+
+    def rules(text, witnesses, known):
+        ops = {w["b"]: [(o["tag"], o["i"], o["j"], list(o["words"])) for o in w["ops"]] for w in witnesses}
+        return [r for _, r in C.read_record(text, ops, dict(known if known is not None else {}), {w["b"]: w["family"] for w in witnesses})[1]]
+
+    out = row.select("a", F.explode(K.column(rules, "array<string>", F.col("ta"), F.col("witnesses"), F.col("known"))).alias("rule"))
+    return out.groupBy("rule").agg(F.count("*").alias("n"), F.countDistinct("a").alias("docs"))
 
 
 @query()

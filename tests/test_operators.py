@@ -110,6 +110,24 @@ def test_reading_rules_and_alignment(spark):
     assert got == {1: [(1, "b", "x")], 2: []}
 
 
+def test_reading_of_a_record_from_all_witnesses():
+    base = "one small lamp stood by the river"
+    read = lambda text, ws, lex={}, fam=None: collate.read_record(text, {i: collate.edits(text, w) for i, w in enumerate(ws)}, lex, fam)
+    assert collate.edits(base, "a front " + base + " and back") == [("equal", 0, 7, [])]
+    ws = [base.replace("stood", "once stod"), base.replace("stood", "once stod")]
+    # An inserted word moves nothing after it; an insertion beside a replacement is no 1:1 replacement.
+    assert read(base, [base.replace("lamp", "lamp once")] * 2) == ("one small lamp once stood by the river".split(), [(3, "insert")])
+    assert read(base, ws) == (base.split(), [])
+    bad = base.replace("stood", "stodd")
+    assert read(bad, [base, base]) == (base.split(), [(3, "majority")])
+    assert read(bad, [base, base], {}, {0: 7, 1: 7}) == (bad.split(), [(3, "open")])
+    assert read(bad, [base], {"stood": 99}) == (base.split(), [(3, "lexicon")])
+    assert read(bad, [base, bad, base], {"stood": 99}) == (bad.split(), [(3, "open")])
+    assert read(base, [base.replace("lamp", "xyzzy")] * 2, {"lamp": 99})[1] == [(2, "open")]
+    assert read(base.replace("small lamp", "smalllamp"), [base], {"small": 99, "lamp": 99}) == (base.split(), [(1, "join")])
+    assert read(bad, [base.replace("stood", "Stood"), base], {"=stood": 5})[0] == base.split()
+
+
 ENTRY = "id string, type string, status string, title string, text string, data string, links array<struct<rel:string,to:string>>"
 
 
