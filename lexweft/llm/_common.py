@@ -19,14 +19,18 @@ from pyspark.sql import types as T
 SLICE_ROWS = 512
 #: Characters of one Arrow slice handled at a time, unless one text is longer.
 SLICE_CHARS = 2_000_000
+#: Rows of a small frame that are kept in one file.
+ROWS_PER_FILE = 250_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and all run on one machine."""
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isEmpty():
         path = spark.conf.get("spark.checkpoint.dir", None)
         if not path:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             path = tempfile.mkdtemp(prefix="lexweft-")
             atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(path)
@@ -34,18 +38,30 @@ def shared_dir(spark: SparkSession) -> str:
     return known.get()
 
 
-def durable(df: DataFrame, few: bool = False) -> DataFrame:
+def durable(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Computes df once and keeps it in the shared folder, so that later jobs survive lost executors and see one version.
 
-    few: df comes out of a shuffle and is small beside the documents (links, labels, counts of groups); it is kept in about
-    twice as many files as there are cores instead of one for each shuffle partition.
+    rows: df comes out of a shuffle and has about so many rows at most, of a few numbers each; it is kept in a file for each
+    ROWS_PER_FILE of them (and two for each core) instead of one for each shuffle partition.
     """
     shared_dir(df.sparkSession)
-    if few:
-        df = df.coalesce(max(8, 2 * df.sparkSession.sparkContext.defaultParallelism))
+    if rows is not None:
+        df = df.coalesce(max(8, 2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE)))
     return df.checkpoint(eager=True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, or name and so many underscores that no column of df starts with it (in any case)."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name += "_"
+    return name
+
+
+def column(name: str) -> Column:
+    """The column of this very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, for a table that is dropped when the session's JVM ends."""
     root = f"{shared_dir(spark)}/lexweft-{spark.sparkContext.applicationId}"
@@ -57,13 +73,6 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def row_ids() -> Column:
-    """A number for each row: 20 bits of task, 24 of row in the task. It is only the same in another job if it is kept."""
-    raw = F.monotonically_increasing_id()
-    task, row = F.shiftright(raw, 33), raw.bitwiseAND(F.lit((1 << 33) - 1))
-    return F.when((task < 1 << 20) & (row < 1 << 24), F.shiftleft(task, 24) + row).otherwise(F.raise_error(F.lit("too many rows in a task, or tasks")).cast("long"))
-
-
 def _parquet_only(df: DataFrame) -> bool:
     """Whether df is a selection of columns and rows of Parquet files, each read once."""
     plan = df._jdf.queryExecution().optimizedPlan()
@@ -75,15 +84,15 @@ def _parquet_only(df: DataFrame) -> bool:
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
-    """df and a column `name` with a number under 2^44 for each row, the same in every job, however the files are split then.
+    """df and a column `name` that numbers its rows, the same in every job, however the files are split then.
 
-    A row of a Parquet file has its place in the file, after the rows of the files before; anything else is written to the
-    shared folder with its numbers first.
+    A row of a Parquet file has its place in the file, after the rows of the files before, so sorted tables are numbered in
+    their order. Anything else is written to the shared folder first.
     """
     if not _parquet_only(df):
-        path = fresh_path(df.sparkSession, "texts")
-        df.withColumn(name, row_ids()).write.parquet(path)
-        return df.sparkSession.read.parquet(path)
+        path = fresh_path(df.sparkSession, "rows")
+        df.write.parquet(path)
+        df = df.sparkSession.read.parquet(path)
     at = df.metadataColumn("_metadata")
     placed = df.select("*", at["row_index"].alias(name), at["file_path"].alias(f"{name}file"))
     sizes = placed.groupBy(f"{name}file").agg(F.max(name).alias("n")).collect()
@@ -94,7 +103,7 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     # One row for each file, which the driver has listed already.
     first = F.broadcast(df.sparkSession.createDataFrame(starts, f"`{name}from` string, `{name}start` long"))
     out = placed.join(first, F.col(f"{name}file") == F.col(f"{name}from"))
-    return out.select(*[out[c] for c in df.columns], (F.col(name) + F.col(f"{name}start")).alias(name))
+    return out.select(*[column(c) for c in df.columns], (F.col(name) + F.col(f"{name}start")).alias(name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -150,16 +159,18 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", rows: int = SL
 def map_text(df: DataFrame, keep: list[str], text_col: str, out: list[tuple[str, str]], kernel: Callable[[list], list[pa.Array]], text_type: str = "string") -> DataFrame:
     """Adds columns `out` (name, DDL type) that kernel computes from a list of texts; keeps the columns `keep` beside them.
 
-    kernel is called on the executors with the texts of one slice and returns one Arrow array for each new column.
-    Kept columns travel under positional names, so that they may have any names.
+    kernel is called on the executors with the texts of one slice and returns one Arrow array for each new column. Columns
+    travel under names of their own, so that they may have any names; a kept one whose name (in any case) is a new one's
+    is called kept_ and that name.
     """
     ship(df.sparkSession)
-    inner = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text_col).cast(text_type).alias("text"))
-    schema = T.StructType([T.StructField(f"k{i}", inner.schema[f"k{i}"].dataType) for i in range(len(keep))] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in out])
-    names = [*[f"k{i}" for i in range(len(keep))], *[n for n, _ in out]]
+    inner = df.select(*[column(c).alias(f"k{i}") for i, c in enumerate(keep)], column(text_col).cast(text_type).alias("text"))
+    names = [*[f"k{i}" for i in range(len(keep))], *[f"o{i}" for i in range(len(out))]]
+    schema = T.StructType([T.StructField(f"k{i}", inner.schema[f"k{i}"].dataType) for i in range(len(keep))] + [T.StructField(f"o{i}", T._parse_datatype_string(t)) for i, (_, t) in enumerate(out)])
 
     def run(batches):
         for batch, texts in slices(batches):
             yield pa.RecordBatch.from_arrays([*[batch.column(f"k{i}") for i in range(len(keep))], *kernel(texts)], names=names)
 
-    return inner.mapInArrow(run, schema).withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)})
+    new = {n.lower() for n, _ in out}
+    return inner.mapInArrow(run, schema).toDF(*[f"kept_{c}" if c.lower() in new else c for c in keep], *[n for n, _ in out])

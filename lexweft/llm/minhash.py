@@ -14,7 +14,8 @@ however large, costs one node. Nodes with equal minima in a band meet in a bucke
 A comparison looks at the signatures first (a pair that is far below the threshold ends there: five standard errors),
 then at the full sets. With BANDS x ROWS minima a pair at similarity 0.85 shares no bucket with probability 3e-7.
 
-Null, empty and blank texts have no shingles and link with nothing; a text of fewer words than a shingle has one.
+Null, empty and blank texts have no shingles and link with nothing; a text of fewer words than a shingle has one. Rows may
+be repeated and ids null (they sort last); an empty table gives an empty one. df's columns may have any names.
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import durable, map_text, numbered, worker_cache
+from ._common import column, durable, free_name, map_text, numbered, worker_cache
 from .components import connected_components
 
 BANDS, ROWS = 32, 6
 SEED = 20240229
-#: The column of the rows' numbers beside df's own columns.
+#: The column of the rows' numbers beside df's own columns, which get it with more underscores if a name starts so.
 UID = "near_uid_"
 #: Ids up to which the nodes to compare are broadcast to the scan that fetches their sets; beyond, they are joined.
 BROADCAST_IDS = 1_000_000
@@ -124,12 +125,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     uid is the row's number, the same in all jobs (see numbered).
     """
-    return _near_duplicates(numbered(df, UID), id_col, text_col, size, percent, bands, rows)
+    return _near_duplicates(numbered(df, free_name(df, UID)), id_col, text_col, size, percent, bands, rows)
 
 
 def _near_duplicates(df: DataFrame, id_col: str, text_col: str, size: int = 3, percent: int = 85, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    source = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(UID).alias("uid"))
+    source = df.select(column(id_col).alias("doc_id"), column(text_col).cast("string").alias("text"), F.col(df.columns[-1]).alias("uid"))
     docs = durable(signatures(source, ["uid", "doc_id"], "text", size, bands, rows))
+    rows_n = docs.count()
     with_set = docs.where("n_shingles > 0")
     # One node for each set; a set's rows meet as one partial row for each task. min over the struct keeps id and row together.
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best")
@@ -144,18 +146,20 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, size: int = 3, p
     hub = left.groupBy("band", "bucket").agg(F.max_by("node", F.struct("meets", -F.col("node"))).alias("hub")).select(F.col("band").alias("h_band"), F.col("bucket").alias("h_bucket"), "hub")
     left = durable(left.join(hub, (F.col("band") == F.col("h_band")) & (F.col("bucket") == F.col("h_bucket"))).where("node <> hub").select("node", "band", "bucket", "hub"))
     stars = left.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    links = durable(_confirmed(stars, rep, _sets_of(source, size), percent, bands * rows))
+    links = durable(_confirmed(stars, rep, _sets_of(source, size, rows_n), percent, bands * rows))
     comp = connected_components(links)
     # Step 2: what is left in buckets of several components.
-    left = durable(_several(left.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left")), few=True)
+    left = durable(_several(left.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left")), rows_n)
     if not left.isEmpty():
-        sets = durable(_sets_of(source, size)(left.select("node")))
-        new = durable(_confirmed(_prefix_pairs(left, sets, percent), rep, lambda _: sets, percent, bands * rows))
+        sets = durable(_sets_of(source, size, rows_n)(left.select("node")))
+        new = durable(_confirmed(_prefix_pairs(left, sets, percent, rows_n), rep, lambda _: sets, percent, bands * rows))
         if not new.isEmpty():
             comp = connected_components(links.unionByName(new))
     label = lambda col: F.coalesce(col, F.col("node"))
-    where = nodes.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select("d1", "d2", "first_id", "node", label(F.col("component")).alias("component"))
+    where = durable(nodes.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select("d1", "d2", "first_id", "node", label(F.col("component")).alias("component")), rows_n)
+    # Kept, so that the join back has an exchange of its own on either side, which may be split for a large component.
     least = where.groupBy("component").agg(F.min(F.struct(F.col("first_id").isNull().alias("last"), F.col("first_id").alias("id"), "node")).alias("best"), F.count("*").alias("n")).where("n > 1").select(F.col("component").alias("g"), "best")
+    least = durable(least, rows_n)
     sets = durable(where.join(least, F.col("component") == F.col("g"), "left").select("d1", "d2", F.coalesce("best.id", "first_id").alias("component_id"), F.coalesce("best.node", "node").alias("keeper")))
     out = docs.select("uid", "doc_id", "n_shingles", "d1", "d2").join(sets.withColumnsRenamed({"d1": "s1", "d2": "s2"}), (F.col("n_shingles") > 0) & (F.col("d1") == F.col("s1")) & (F.col("d2") == F.col("s2")), "left")
     none = F.col("keeper").isNull()
@@ -170,7 +174,7 @@ def _several(rows: DataFrame) -> DataFrame:
     return rows.join(open_, (F.col("band") == F.col("o_band")) & (F.col("bucket") == F.col("o_bucket"))).select("node", "component").distinct()
 
 
-def _prefix_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _prefix_pairs(left: DataFrame, sets: DataFrame, percent: int, rows_n: int) -> DataFrame:
     """The pairs (a, b) of nodes (node, component) of different components that can be similar enough.
 
     With the shingles of all sets in one order, the rarest first, two sets that are so similar share one of their first
@@ -183,7 +187,7 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     order = Window.partitionBy("uid").orderBy("df", "shingle")
     head = each.join(df, "shingle", "left").fillna({"df": 1}).withColumn("at", F.row_number().over(order)).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).where("df > 1")
     head = durable(head.select("uid", "n", "shingle", "at").join(left, F.col("uid") == F.col("node")).select("node", "component", "n", "shingle", "at"))
-    several = durable(head.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle"), few=True)
+    several = durable(head.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle"), rows_n)
     head = durable(head.join(several, "shingle", "left_semi"))
     x, y = (head.select("shingle", *[F.col(c).alias(f"{p}_{c}") for c in ("node", "component", "n", "at")]) for p in "xy")
     # Of two sets the smaller one needs an even shorter part: what both must share is a share of both sizes. And what
@@ -196,11 +200,11 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
-def _sets_of(source: DataFrame, size: int) -> Callable[[DataFrame], DataFrame]:
+def _sets_of(source: DataFrame, size: int, rows_n: int) -> Callable[[DataFrame], DataFrame]:
     """For nodes (node): uid and shingles, from the texts."""
 
     def fetch(ids: DataFrame) -> DataFrame:
-        ids = durable(ids.distinct(), few=True)
+        ids = durable(ids.distinct(), rows_n)
         # Broadcast if so few; else both sides are dealt by the id.
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         return _shingle_sets(source.join(wanted, F.col("uid") == F.col("node"), "left_semi"), ["uid"], "text", size)
@@ -224,7 +228,8 @@ def _confirmed(pairs: DataFrame, rep: DataFrame, fetch: Callable[[DataFrame], Da
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """df with one row of each group of near-duplicates, with df's columns."""
-    texts = numbered(df, UID)
+    uid = free_name(df, UID)
+    texts = numbered(df, uid)
     out = _near_duplicates(texts, id_col, text_col, **parameters)
-    dropped = out.where("not first_of_group").select(F.col("uid").alias("dropped_uid"))
-    return texts.join(dropped, F.col(UID) == F.col("dropped_uid"), "left_anti").select(*df.columns)
+    dropped = out.where("not first_of_group").select(F.col("uid").alias(f"{uid}dropped"))
+    return texts.join(dropped, F.col(uid) == F.col(f"{uid}dropped"), "left_anti").select(*[column(c) for c in df.columns])
