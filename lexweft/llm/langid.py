@@ -5,12 +5,13 @@ border). A document's most frequent n-grams are ranked in the same way, over its
 rank is from the language's rank, or the full profile size where the language lacks it. The language with the smallest
 sum wins; of equal ones, the first by name.
 
-A text that is null or has no letter gets `und` and score 0. Rows with a null language are not learned from.
+A text that is null or has no letter gets `und` and score 0. Rows with a null language are not learned from; repeated rows
+count as often as they are there, and an empty table gives no profiles (all texts are `und` then) or no rows. Columns that
+are kept may have any names (see map_text).
 """
 
 from __future__ import annotations
 
-import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,14 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import map_text, ship, slices
+from ._common import column, map_text, ship, slices
 
 #: N-grams in a profile and in a document's ranking.
 PROFILE_SIZE = 300
 #: Labelled rows of each language that are learned from, about: a language with more is thinned by a hash of the id.
 ROWS_PER_LANGUAGE = 1500
-#: Languages at most; profiles go to every task, so their number must be small.
-MAX_LANGUAGES = 512
 SEED = 11
 
 BITS = 18  # of a letter's number; three letters and a row's number fit a 64-bit integer
@@ -75,9 +74,12 @@ def ranked(row: np.ndarray, code: np.ndarray, count: np.ndarray, size: int) -> t
     if not len(row):
         return row, code, row
     top = (1 << 22) - 1
-    order = row << 54 | (top - np.minimum(count, top)) << 32 | np.arange(len(row))
-    order.sort()
-    at = order & (1 << 32) - 1
+    if count.max() <= top:  # row, falling count and place in one number: a plain sort
+        order = row << 54 | (top - count) << 32 | np.arange(len(row))
+        order.sort()
+        at = order & (1 << 32) - 1
+    else:
+        at = np.lexsort((-count, row))
     row, code = row[at], code[at]
     start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
     rank = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
@@ -87,26 +89,50 @@ def ranked(row: np.ndarray, code: np.ndarray, count: np.ndarray, size: int) -> t
 
 @dataclass
 class Profiles:
-    """The learned profiles: sorted n-gram codes, and each one's rank in each language (size where it has none)."""
+    """The learned profiles: sorted distinct n-gram codes; from start[i] to start[i + 1] the languages that have code i, with its ranks.
+
+    A profile is `size` entries of 16 bytes, so all natural languages together are some 30 MB; they go to every task.
+    """
 
     languages: list[str]
     codes: np.ndarray
-    ranks: np.ndarray
+    start: np.ndarray
+    lang: np.ndarray
+    rank: np.ndarray
     size: int
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    @classmethod
+    def of(cls, rows: list[tuple[str, int, int]], size: int) -> Profiles:
+        """rows: language, code, rank."""
+        languages = sorted({r[0] for r in rows})
+        number = {x: i for i, x in enumerate(languages)}
+        rows = sorted((code, number[x], rank) for x, code, rank in rows)
+        every = np.array([r[0] for r in rows], np.int64)
+        codes, start = np.unique(every, return_index=True)
+        return cls(languages, codes, np.append(start, len(rows)), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64), size)
+
+    def distances(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Out-of-place distance of each text to each language, and each text's number of ranked n-grams."""
         row, code, rank = ranked(*gram_counts(texts), self.size)
-        lang, score = np.full(len(texts), -1), np.zeros(len(texts))
+        grams, wide = np.bincount(row, minlength=len(texts)), len(self.languages)
+        near = np.zeros(len(texts) * wide, np.int64)
         if len(row) and len(self.codes):
             at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            far = np.where((self.codes[at] == code)[:, None], np.where(self.ranks[at] < self.size, np.abs(self.ranks[at] - rank[:, None]), self.size), self.size)
-            start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            sums = np.add.reduceat(far, start, axis=0)
-            best = sums.argmin(axis=1)
-            grams = np.diff(np.append(start, len(row)))
-            lang[row[start]] = best
-            score[row[start]] = 1 - sums[np.arange(len(best)), best] / (grams * self.size)
-        return [self.languages[i] if i >= 0 else "und" for i in lang], score
+            known = np.flatnonzero(self.codes[at] == code)
+            at, many = at[known], np.diff(self.start)[at[known]]
+            # Each n-gram once for each language that has it: what it is nearer than an n-gram that the language lacks.
+            entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.start[at], many)
+            gain = self.size - np.minimum(np.abs(self.rank[entry] - np.repeat(rank[known], many)), self.size)
+            near = np.bincount(np.repeat(row[known], many) * wide + self.lang[entry], gain, len(near)).astype(np.int64)
+        return grams[:, None] * self.size - near.reshape(len(texts), wide), grams
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        far, grams = self.distances(texts)
+        if not self.languages:
+            return ["und"] * len(texts), np.zeros(len(texts))
+        best = far.argmin(axis=1)
+        score = 1 - far[np.arange(len(texts)), best] / np.maximum(grams * self.size, 1)
+        return [self.languages[i] if n else "und" for i, n in zip(best.tolist(), grams.tolist(), strict=True)], np.where(grams > 0, score, 0.0)
 
 
 def learn(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", rows_per_language: int = ROWS_PER_LANGUAGE, size: int = PROFILE_SIZE) -> Profiles:
@@ -117,14 +143,10 @@ def learn(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
     """
     spark = df.sparkSession
     ship(spark)
-    known = df.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    share = {r["lang"]: min(1.0, rows_per_language / r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(share) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not share:
-        return Profiles([], np.zeros(0, np.int64), np.zeros((0, 0), np.int64), size)
-    share_of = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
-    chosen = known.where(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1_000_000)) < share_of[F.col("lang")] * 1_000_000)
+    known = df.where(column(lang_col).isNotNull()).select(column(id_col).alias("id"), column(lang_col).cast("string").alias("lang"), column(text_col).cast("string").alias("text"))
+    rows = known.groupBy(F.col("lang").alias("l")).agg(F.count("*").alias("rows"))
+    # One row for each language.
+    chosen = known.join(F.broadcast(rows), F.col("lang") == F.col("l")).where(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1_000_000)) * F.col("rows") < 1_000_000 * rows_per_language).select("lang", "text")
 
     def count(batches):
         total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -144,13 +166,7 @@ def learn(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
     part = Window.partitionBy("lang", F.pmod(F.hash("code"), F.lit(64))).orderBy(F.desc("n"), "code")
     whole = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = counted.withColumn("r", F.row_number().over(part)).where(F.col("r") <= size).withColumn("r", F.row_number().over(whole) - 1).where(F.col("r") < size)
-    rows = top.select("lang", "code", "r").collect()
-    languages = sorted({r["lang"] for r in rows})
-    codes = np.array(sorted({r["code"] for r in rows}), np.int64)
-    ranks = np.full((len(codes), len(languages)), size, np.int64)
-    for r in rows:
-        ranks[np.searchsorted(codes, r["code"]), languages.index(r["lang"])] = r["r"]
-    return Profiles(languages, codes, ranks, size)
+    return Profiles.of([tuple(r) for r in top.select("lang", "code", "r").collect()], size)
 
 
 def identify(df: DataFrame, profiles: Profiles, keep: list[str], text_col: str = "text") -> DataFrame:
