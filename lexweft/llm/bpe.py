@@ -7,7 +7,8 @@ follow the shorter prefix's last token. So each node needs its ancestors' states
 and a word's ids are read back along the states.
 
 Texts are normalised as the tokenizer file says: NFC, white space, lower case; its special tokens' strings give their
-ids. Null counts as empty. Everything a worker keeps between batches is bounded.
+ids. Null counts as empty. Everything a worker keeps between batches is bounded. Each row is encoded by itself, so repeated
+rows have equal ids and an empty table gives an empty one; columns that are kept may have any names (see map_text).
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from ._common import map_text, worker_cache
 
 END = "</w>"
 assert sys.byteorder == "little" and array("I").itemsize == 4  # ids travel as such bytes
-#: Distinct white-space separated chunks of which a worker keeps the ids; then it starts anew.
-CACHE_WORDS = 700_000
+#: Distinct white-space separated chunks of which a worker keeps the ids, and their characters; then it starts anew.
+CACHE_WORDS, CACHE_CHARS = 700_000, 12_000_000
 #: Pairs of tokens of which a worker keeps whether they may stand side by side.
 CACHE_PAIRS = 1_000_000
 
@@ -191,6 +192,7 @@ class TextEncoder:
         self.library_words = library
         self.assigned: set[str] = set()  # characters seen so far that Python's Unicode tables know
         self.known: dict[str, bytes] = {}
+        self.chars = 0  # of the chunks in known
         self.special = {t: array("I", [i]).tobytes() for t, i in self.bpe.special.items()}
 
     def learn(self, fresh: set[str]) -> None:
@@ -244,8 +246,9 @@ class TextEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids, as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS or self.chars > CACHE_CHARS:
             self.known.clear()
+            self.chars = 0
         specials, rows = self.bpe.specials, []
         for text in texts:
             if text and specials and "<|" in text and specials.search(text):
@@ -253,7 +256,9 @@ class TextEncoder:
             else:
                 rows.append(self.split(self._lowered(text or "")))
         plain = [r for r in rows if not r or type(r[0]) is str] + [part for r in rows if r and type(r[0]) is list for part in r[::2]]
-        self.learn(set(chain.from_iterable(plain)).difference(self.known))
+        fresh = set(chain.from_iterable(plain)).difference(self.known)
+        self.chars += sum(map(len, fresh))
+        self.learn(fresh)
         get, join = self.known.__getitem__, b"".join
         return [join(map(get, r)) if not r or type(r[0]) is str else join(self.special[p] if k % 2 else join(map(get, p)) for k, p in enumerate(r)) for r in rows]
 
