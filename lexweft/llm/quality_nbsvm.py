@@ -1,13 +1,17 @@
 """Quality classifier: naive-Bayes-scaled support vectors.
 
-Indicators of n-grams (words, and runs of one to four word shapes) are scaled by the log ratio of their frequencies in the
-two classes; a linear hinge-loss model over them is fitted by dual coordinate descent. A logistic curve fitted to the
-training margins turns a margin into a score.
+Indicators of n-grams (words, pairs of words, and runs of one to four word shapes) are scaled by the log ratio of their
+frequencies in the two classes; a linear hinge-loss model over them is fitted by dual coordinate descent. A logistic curve
+fitted to the training margins turns a margin into a score.
 
 A word's shape has one letter for each run of capitals (A), other letters (a) and digits (0), and its other characters
-once for each run; four equal words in a row are a feature too. A word of more than LONG characters (a text without
-spaces is one) has no feature of its own but those of all its parts: runs of three characters, and of four in its shape.
+once for each run. A word of more than LONG characters (a text without spaces is one) also has features of its parts: runs
+of three characters, and of four in its shape.
+
 A null or blank text has one feature that says so. If the labels are of one class only, the score is that class for all.
+Scores depend on the text only, so repeated rows have equal ones; of rows with the same id the least text is learned from,
+and an id with several labels counts with the least. An empty table gives an empty one; columns that are kept may have any
+names (see map_text).
 """
 
 from __future__ import annotations
@@ -16,15 +20,17 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import durable, hash_order, worker_cache
-from .text_features import Rows, count_features, logistic, matrix, score_with, top_features
+from ._common import column, durable, hash_order, worker_cache
+from .text_features import Rows, count_features, logistic, matrix, one_row_per_id, score_with, top_features
 
 #: Labelled rows of each class that are learned from, at most (chosen by a hash of the id).
 MAX_ROWS = 4000
-MAX_FEATURES, LEAST_ROWS = 20_000, 8
+#: Features of the model at most (those that most rows have), and the rows that one must have.
+MAX_FEATURES, LEAST_ROWS = 60_000, 8
 EPOCHS, COST, SMOOTH = 12, 1.0, 1.0
 THRESHOLD = 0.5
 SEED = 5
@@ -60,22 +66,24 @@ def featurize(text: str | None) -> set[str]:
         else:
             long[w] = shape(w)
     shapes = [known[w] if w in known else long[w] for w in words]
-    out = {f"w {w.lower()}" for w in distinct if len(w) <= LONG}
+    low = [_short(w) for w in words]
+    out = {f"w {w}" for w in set(low)}
+    out.update([f"p {a} {b}" for a, b in set(zip(low, low[1:], strict=False))])
     for w in distinct:
         if len(w) > LONG:
-            low, s = w.lower(), known[w] if w in known else long[w]
-            out.update(f"c {p}" for p in {low[i : i + 3] for i in range(len(low) - 2)})
+            whole, s = w.lower(), known[w] if w in known else long[w]
+            out.update(f"c {p}" for p in {whole[i : i + 3] for i in range(len(whole) - 2)})
             out.update(f"s {p}" for p in {s[i : i + 4] for i in range(max(1, len(s) - 3))})
     for n in (1, 2, 3, 4):
-        out.update(f"{n} {' '.join(run)}" for run in set(zip(*(shapes[k:] for k in range(n)), strict=False)))
-    if len(distinct) < len(words):
-        for a, b, c, d in zip(words, words[1:], words[2:], words[3:], strict=False):
-            if a == b == c == d:
-                out.add("4 equal")
-                break
+        out.update([f"{n} {' '.join(run)}" for run in set(zip(*(shapes[k:] for k in range(n)), strict=False))])
     return out
 
 
+def _short(word: str) -> str:
+    """The word in lower case; one of more than CACHE_CHARS characters as its hash."""
+    return word.lower() if len(word) <= CACHE_CHARS else f"#{xxhash.xxh3_128_hexdigest(word.lower())}"
+
+
 @dataclass
 class Model:
     weights: dict[str, float]
@@ -122,20 +130,22 @@ def platt(margin: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, fl
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS) -> Model:
-    """Learns from the rows of docs that labels (id_col, label_col) covers. An id with several labels counts with the least."""
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("y"))
-    known = durable(known.join(docs.select(id_col), id_col, "left_semi"), few=True)
-    picks = [hash_order(known.where(c), id_col, max_rows, SEED).withColumn("y", F.lit(y)) for c, y in (("y = 1", 1), ("y <> 1", 0))]
+    """Learns from the rows of docs that labels (id_col, label_col) covers."""
+    texts = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
+    known = labels.select(column(id_col).alias("id"), column(label_col).alias("y")).where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.min("y").alias("y"))
+    known = durable(known.join(texts.select("id"), "id", "left_semi"))
+    picks = [hash_order(known.where(c), "id", max_rows, SEED).withColumn("y", F.lit(y)) for c, y in (("y = 1", 1), ("y <> 1", 0))]
     # At most 2 x max_rows rows of two numbers.
-    chosen = F.broadcast(durable(picks[0].unionByName(picks[1]), few=True))
-    sample = durable(docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(chosen, id_col).select("text", "y"))
+    chosen = F.broadcast(durable(picks[0].unionByName(picks[1])))
+    found = one_row_per_id(texts.join(chosen, "id", "left_semi"), "id", "text")
+    sample = durable(found.join(chosen, "id").select("text", "y", F.lit(1).alias("weight")))
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return Model({}, 1.0, 10.0 if n.get(1) or not n else -10.0)
     both = F.col("n1") + F.col("n0")
-    top = top_features(count_features(sample, "text", "y", featurize), F.when(both >= min(LEAST_ROWS, max(2, sum(n.values()) // 50)), both), MAX_FEATURES)
+    top = top_features(count_features(sample, featurize), F.when(both >= min(LEAST_ROWS, max(2, sum(n.values()) // 50)), both), MAX_FEATURES)
     names = [f for f, _, _ in top]
-    x, y01 = matrix(sample, "text", "y", featurize, names)
+    x, y01, _ = matrix(sample, featurize, names)
     y = np.where(y01 == 1, 1.0, -1.0)
     p, q = (np.array([f[k] for f in top], float) + SMOOTH for k in (1, 2))
     ratio = np.log((p / p.sum()) / (q / q.sum()))

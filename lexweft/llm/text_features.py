@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import map_text, ship, slices
+from ._common import column, map_text, ship, slices
 
 Featurizer = Callable[[str | None], set[str]]
 
@@ -33,19 +33,26 @@ class Rows:
         return np.bincount(self.index, np.repeat(g, np.diff(self.start)), self.width)
 
 
-def count_features(sample: DataFrame, text_col: str, label_col: str, featurize: Featurizer, only: frozenset[str] | None = None) -> DataFrame:
-    """feature, n1 and n0: rows of the sample with label 1 and others that have the feature. only: the features to count."""
+def one_row_per_id(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id and text: of rows with the same id the one with the least text, so that ids bound rows."""
+    return df.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text")).groupBy("id").agg(F.min("text").alias("text"))
+
+
+def count_features(sample: DataFrame, featurize: Featurizer) -> DataFrame:
+    """feature, n1 and n0: the weights of the sample's rows (text, y, weight) with label 1, and of the others, that have the feature."""
     ship(sample.sparkSession)
 
     def count(batches):
-        seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
+        seen: dict[bool, dict[str, int]] = {True: defaultdict(int), False: defaultdict(int)}
         for batch, texts in slices(batches):
-            for t, y in zip(texts, batch.column("y").to_pylist(), strict=True):
-                seen[y == 1].update(featurize(t) if only is None else featurize(t) & only)
+            for t, y, w in zip(texts, batch.column("y").to_pylist(), batch.column("weight").to_pylist(), strict=True):
+                mine = seen[y == 1]
+                for f in featurize(t):
+                    mine[f] += w
         names = list(seen[True] | seen[False])
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *[pa.array([seen[k][f] for f in names], pa.int64()) for k in (True, False)]], names=["feature", "n1", "n0"])
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *[pa.array([seen[k].get(f, 0) for f in names], pa.int64()) for k in (True, False)]], names=["feature", "n1", "n0"])
 
-    inner = sample.select(F.col(text_col).alias("text"), F.col(label_col).alias("y"))
+    inner = sample.select("text", "y", F.col("weight").cast("long").alias("weight"))
     return inner.mapInArrow(count, "feature string, n1 long, n0 long").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
@@ -55,17 +62,17 @@ def top_features(counts: DataFrame, weight: Column, limit: int) -> list[tuple[st
     return sorted((r["feature"], r["n1"], r["n0"]) for r in rows)
 
 
-def matrix(sample: DataFrame, text_col: str, label_col: str, featurize: Featurizer, names: list[str]) -> tuple[Rows, np.ndarray]:
-    """The sample's rows (a bounded number) as indicators of the named features, and their labels; in an order of their own."""
-    column = {f: i for i, f in enumerate(names)}
+def matrix(sample: DataFrame, featurize: Featurizer, names: list[str]) -> tuple[Rows, np.ndarray, np.ndarray]:
+    """The sample's rows (a bounded number) as indicators of the named features, their labels and weights; in an order of their own."""
+    column_of = {f: i for i, f in enumerate(names)}
 
     def kernel(texts):
-        return [pa.array([sorted(column[f] for f in featurize(t) if f in column) for t in texts], pa.list_(pa.int32()))]
+        return [pa.array([sorted(column_of[f] for f in featurize(t) if f in column_of) for t in texts], pa.list_(pa.int32()))]
 
-    rows = map_text(sample.select(F.col(label_col).alias("y"), F.col(text_col).alias("text")), ["y"], "text", [("f", "array<int>")], kernel).collect()
-    rows = sorted((r["f"], r["y"]) for r in rows)
-    start = np.concatenate([[0], np.cumsum([len(f) for f, _ in rows])]).astype(np.int64)
-    return Rows(start, np.array([i for f, _ in rows for i in f], np.int64), len(names)), np.array([y for _, y in rows], np.float64)
+    rows = map_text(sample.select("y", "weight", "text"), ["y", "weight"], "text", [("f", "array<int>")], kernel).collect()
+    rows = sorted((r["f"], r["y"], r["weight"]) for r in rows)
+    start = np.concatenate([[0], np.cumsum([len(f) for f, _, _ in rows])]).astype(np.int64)
+    return Rows(start, np.array([i for f, _, _ in rows for i in f], np.int64), len(names)), np.array([y for _, y, _ in rows], np.float64), np.array([w for _, _, w in rows], np.float64)
 
 
 def logistic(x: np.ndarray) -> np.ndarray:
