@@ -1,12 +1,14 @@
 """Best-fit packing of token sequences: bounded-space online best-fit.
 
-Each task packs its documents as they come. A fixed number of bins is open, kept by their free space in a bitset; a piece
-goes to the open bin with the least space that holds it, found by one shift. If none does, a new bin opens, and when that
-is one too many, the fullest closes. The pieces of a slice (some hundred documents) are placed from the longest to the
-shortest. Only pieces of documents longer than a sequence are cut.
+Each task packs its documents as they come, piece after piece. A fixed number of bins is open, kept by their free space in
+a bitset; a piece goes to the open bin with the least space that holds it, found by one shift (of equal ones to the latest).
+If none does, a new bin opens, and when that is one too many, the fullest closes. Only pieces of documents longer than a
+sequence are cut.
 
 A task's memory is its open bins and one slice; sequences never span tasks, so their number is above the least by part of
 the open bins of each task only, and no shuffle is needed. Null texts count as empty; an empty document is one end token.
+Each of repeated rows is packed; an empty table gives an empty one; columns that are kept may have any names, one with a
+new column's name is called kept_ and that name.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ._common import ship, slices
+from ._common import column, ship, slices
 from .bpe import encoder
 
 SIZE, OPEN_BINS, END_ID = 2048, 1024, 0
@@ -61,11 +63,13 @@ class OpenBins:
 
 
 def pack_slice(bins: OpenBins, rows: list[bytes], size: int) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """Row, piece, start, length, bin and offset of each piece of the rows' ids (4 bytes each)."""
-    pieces = [(-min(size, n - start), i, start) for i, ids in enumerate(rows) if (n := len(ids) >> 2) for start in range(0, n, size)]
-    for minus, i, start in sorted(pieces):
-        b, offset = bins.place(-minus)
-        yield i, start // size, start, -minus, b, offset
+    """Row, piece, start, length, bin and offset of each piece of the rows' ids (4 bytes each), in their order."""
+    for i, ids in enumerate(rows):
+        n = len(ids) >> 2
+        for start in range(0, n, size):
+            length = min(size, n - start)
+            b, offset = bins.place(length)
+            yield i, start // size, start, length, b, offset
 
 
 def pack(df: DataFrame, path: str, keep: list[str], text_col: str = "text", size: int = SIZE, open_bins: int = OPEN_BINS, end_id: int = END_ID) -> DataFrame:
@@ -74,9 +78,9 @@ def pack(df: DataFrame, path: str, keep: list[str], text_col: str = "text", size
     path: of the tokenizer file. Each document's ids are followed by end_id.
     """
     ship(df.sparkSession)
-    inner = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(keep)], df[text_col].cast("string").alias("text"))
-    fields = [T.StructField(f"k{i}", inner.schema[f"k{i}"].dataType) for i in range(len(keep))]
-    fields += [T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+    inner = df.select(*[column(c).alias(f"k{i}") for i, c in enumerate(keep)], column(text_col).cast("string").alias("text"))
+    new = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("sequence_id", T.LongType()), ("offset", T.LongType())]
+    fields = [T.StructField(f"k{i}", inner.schema[f"k{i}"].dataType) for i in range(len(keep))] + [T.StructField(f"o{i}", t) for i, (_, t) in enumerate(new)]
     end, kinds = end_id.to_bytes(4, "little"), [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches):
@@ -88,4 +92,5 @@ def pack(df: DataFrame, path: str, keep: list[str], text_col: str = "text", size
             values = ([p[1] for p in placed], [p[2] for p in placed], [p[3] for p in placed], [rows[p[0]][4 * p[2] : 4 * (p[2] + p[3])] for p in placed], [p[4] for p in placed], [p[5] for p in placed])
             yield pa.RecordBatch.from_arrays([*[batch.column(f"k{i}").take(at) for i in range(len(keep))], *[pa.array(v, k) for v, k in zip(values, kinds, strict=True)]], names=[f.name for f in fields])
 
-    return inner.mapInArrow(run, T.StructType(fields)).withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)})
+    names = [n for n, _ in new]
+    return inner.mapInArrow(run, T.StructType(fields)).toDF(*[f"kept_{c}" if c.lower() in names else c for c in keep], *names)
