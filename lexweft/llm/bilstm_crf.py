@@ -130,7 +130,7 @@ class Tagger:
 
     def viterbi(self, s: np.ndarray) -> np.ndarray:
         """The best labels for one sequence's scores (time, tags)."""
-        back, best = np.zeros(s.shape, np.int64), s[0].copy()
+        back, best = np.zeros(s.shape, np.int64), s[0].astype(np.float64)  # sums of many scores
         for t in range(1, len(s)):
             x = best[:, None] + self.p["T"]
             back[t] = x.argmax(0)
