@@ -59,26 +59,6 @@ def last_name(text: str | None, separators: frozenset[str], least: int = 2, most
     return None
 
 
-def split_tail(text: str | None, quotes: str, cue: str) -> tuple[str, str]:
-    """(quotation, tail): cut at the first cue after the last closing quote, or after the start if there is none."""
-    t = text or ""
-    start = max((t.rfind(q) for q in quotes), default=-1) + 1
-    m = re.compile(cue).search(t, start)
-    return (t, "") if not m else (t[: m.start()].rstrip(), t[m.start() :])
-
-
-def items(text: str | None, opener: str, closer: str) -> list[str]:
-    """The parts of a paragraph that run from each opener to the next closer (or the end)."""
-    t, out, at = text or "", [], 0
-    while m := re.compile(opener).search(t, at):
-        end = re.compile(closer).search(t, m.end())
-        out.append(t[m.start() : end.start() if end else len(t)].strip())
-        if not end:
-            break
-        at = max(end.start(), m.end())
-    return out
-
-
 def name_before(words: list[str] | None, at: int, own: frozenset[str] | set[str]) -> str:
     """The words before place `at`, as far back as they are names of the record's own chain."""
     start = at
@@ -126,26 +106,26 @@ def dictionary_entry(text: str | None, ranks: list[tuple[int, str]], cut: str, c
     return {"no": int(m[1]), "name": body[: min(ends)].strip() if ends else body.strip(), "grade": best[2] if best else None, "rank": best[1] if best else None, "codes": "".join(sorted(found))}
 
 
-def place(hits: list[tuple[int, int, dict[int, int], int | None]], near: tuple[int, int] = (-20, 60)) -> list[tuple[int, int, str, int]]:
-    """Where each record of a work stands, in order: (record, verse, how, hits).
+def place(rows: list[tuple], least: int = 2, sure: int = 4, near: tuple[int, int] = (-20, 60)) -> list[tuple]:
+    """Where each record of a work stands, in order: (record, passage, how, hits).
 
-    A record is (number, , hits by verse, heading's verse). A heading's verse wins. Else the verse with most hits (the
-    earlier one of equals) is taken with two hits or more if it is near the present one, or there is none yet, or it has
-    four; other verses with two hits are cited. Without any, the record continues the present verse. What is taken depends
-    on what was taken before, so a work's records go through one task in order.
+    A row is (record, hits, heading): hits are mappings of g (group), n (number), passage, head and hits, the heading is a
+    mapping of g, n and passage, or None. See operators.passages.placed for the rules.
     """
     out, now = [], None
-    for record, _, by, heading in hits:
-        good = sorted(((-h, v) for v, h in by.items() if h >= 2))
-        if heading is not None:
-            now = heading
-            out.append((record, now, "heading", by.get(now, 0)))
-        elif good and (now is None or near[0] <= good[0][1] - now <= near[1] or -good[0][0] >= 4):
-            now = good[0][1]
-            out.append((record, now, "lemma", -good[0][0]))
+    for record, hits, heading in rows:
+        by = {h["passage"]: h for h in hits}
+        best = min((h for h in hits if h["head"] >= least), key=lambda h: (-h["head"], h["g"], h["n"]), default=None)
+        if heading is not None and heading == heading:
+            now = (heading["g"], heading["n"], heading["passage"])
+            out.append((record, now[2], "heading", by[now[2]]["hits"] if now[2] in by else 0))
+        elif best is not None and (now is None or best["head"] >= sure or (best["g"] == now[0] and near[0] <= best["n"] - now[1] <= near[1])):
+            now = (best["g"], best["n"], best["passage"])
+            out.append((record, now[2], "lemma", best["hits"]))
         elif now is not None:
-            out.append((record, now, "continues", 0))
-        out += [(record, v, "cited", -h) for h, v in good if v != now]
+            out.append((record, now[2], "continues", by[now[2]]["hits"] if now[2] in by else 0))
+        rest = sorted((h for h in hits if h["hits"] >= least and (now is None or h["passage"] != now[2])), key=lambda h: (-h["hits"], h["passage"]))
+        out += [(record, h["passage"], "cited", h["hits"]) for h in rest]
     return out
 
 

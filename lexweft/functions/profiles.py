@@ -5,6 +5,7 @@ A profile is data. Queries name one; all functions work under any of them.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 
@@ -20,6 +21,20 @@ class Profile:
     same: dict[str, str] = field(default_factory=dict)  # stems taken for one
     stop: frozenset[str] = frozenset()
 
+    def norm(self, text: str | None) -> str:
+        """One text (a query) as functions.text.norm gives it."""
+        marks = re.sub(r"\\x\{([0-9A-Fa-f]+)\}", lambda m: chr(int(m[1], 16)), self.marks)
+        fold = {ord(a): b for a, b in zip(self.fold_from, self.fold_to, strict=False)} | {ord(a): None for a in self.fold_from[len(self.fold_to) :]}
+        return re.sub(f"[{marks}]", "", text or "").lower().translate(fold)
+
+    def tokens(self, text: str | None) -> list[str]:
+        """One text as functions.text.tokens gives it."""
+        return re.findall(r"[^\W_]+", self.norm(text))
+
+    def clean(self, text: str | None) -> str:
+        """One text as functions.text.clean gives it."""
+        return " ".join(re.findall(r"[^\W\d_]+", self.norm(text)))
+
 
 # Vowel marks, Quranic marks, tatweel and private-use characters.
 ARABIC_MARKS = r"\x{0610}-\x{061A}\x{064B}-\x{065F}\x{0670}\x{06D6}-\x{06ED}\x{0640}\x{E000}-\x{F8FF}"

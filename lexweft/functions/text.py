@@ -29,9 +29,14 @@ def clean(c: Column | str, p: Profile = LATIN) -> Column:
     return F.trim(F.regexp_replace(norm(c, p), r"[^\p{L}]+", " "))
 
 
-def tokens(c: Column | str) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.regexp_replace(F.lower(text(c)), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+def tokens(c: Column | str, p: Profile = LATIN) -> Column:
+    """Runs of letters and digits of the normalised text. Marks go first, so vowelled and bare texts have the same tokens."""
+    return F.regexp_extract_all(norm(c, p), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def surface(c: Column | str) -> Column:
+    """Runs of letters, digits and marks as they are written."""
+    return F.regexp_extract_all(text(c), F.lit(r"[\p{L}\p{N}\p{M}]+"), F.lit(0))
 
 
 def words(c: Column | str, p: Profile = LATIN, least: int = 1) -> Column:
@@ -113,6 +118,14 @@ def flat(hemistichs: Column | str, *texts: Column | str) -> Column:
     return F.coalesce(F.when(F.size(_c(hemistichs)) > 0, F.array_join(_c(hemistichs), " / ")), *[_c(t) for t in texts])
 
 
+def flat_json(c: Column | str, without: tuple[str, ...] = ("lang", "edition")) -> Column:
+    """The text values of a JSON object, down to two levels, with a space between; keys of `without` are left out. Null stays null."""
+    top = F.from_json(_c(c), "map<string,string>")
+    kept = F.map_filter(top, lambda k, _: ~k.isin(*without))
+    inner = F.transform(F.map_values(kept), lambda v: F.coalesce(F.array_join(F.map_values(F.map_filter(F.from_json(v, "map<string,string>"), lambda k, _: ~k.isin(*without))), " "), v))
+    return F.when(_c(c).isNotNull(), F.array_join(F.filter(inner, lambda v: v != ""), " "))
+
+
 def split_marker(c: Column | str, marker: str) -> tuple[Column, Column, Column]:
     """What stands before the first marker, after it, and which way the text was split (marker or none)."""
     t = text(c)
@@ -130,24 +143,107 @@ def first_match(c: Column | str, rules: list[tuple[str, str]], otherwise: str |
     return out
 
 
-def cues(c: Column | str, rules: list[tuple[str, str]]) -> Column:
-    """The labels of the rules (label, literal) that occur, by the place of their first occurrence, joined by commas."""
-    found = F.array(*[F.struct(F.instr(_c(c), literal).alias("at"), F.lit(label).alias("label")) for label, literal in rules])
-    return F.array_join(F.transform(F.array_sort(F.filter(found, lambda s: s["at"] > 0)), lambda s: s["label"]), ",")
+def cues(c: Column | str, rules: list[tuple[str, str]], reference: str | None = None) -> Column:
+    """The labels of the rules (label, pattern) that occur, by the place of their first occurrence, joined by commas.
+
+    A text of none of them that `reference` matches (it says where a thing is) is a cross_reference.
+    """
+    found = F.array(*[F.struct(F.regexp_instr(_c(c), F.lit(pattern)).alias("at"), F.lit(label).alias("label")) for label, pattern in rules])
+    out = F.array_join(F.transform(F.array_sort(F.filter(found, lambda s: s["at"] > 0)), lambda s: s["label"]), ",")
+    return out if reference is None else F.when((out == "") & _c(c).rlike(reference), "cross_reference").otherwise(out)
 
 
-def verdict_class(c: Column | str, negative: list[tuple[str, str]], positive: list[tuple[str, str]], reserve: str, support: str, disputed: str) -> Column:
+def verdict_class(c: Column | str, negative: list[tuple[str, str]], positive: list[tuple[str, str]], reserve: str, support: str, disputed: str, chain: str | None = None, chain_fair: str = "fair") -> Column:
     """One class of a verdict that may say several things.
 
     Support by other routes comes first, then a disputed narrator, then a contradiction (disputed); a reservation after
-    a positive word counts as weak.
+    a positive word counts as weak. chain: a pattern for a grade of the chain in hand that is no more than fair; it
+    overrides the positive class that later words of other routes may give.
     """
     n = _c(c)
     neg, pos = first_match(n, negative, None), first_match(n, positive, None)
+    if chain is not None:
+        pos = F.when(pos.isNotNull() & n.rlike(chain), F.lit(chain_fair)).otherwise(pos)
     neg = F.when(neg.isNull() & pos.isNotNull() & n.rlike(reserve), F.lit("weak")).otherwise(neg)
     return F.when(n.rlike(support), "sound_by_support").when(n.rlike(disputed), "disputed_narrator").when(neg.isNotNull() & pos.isNotNull(), "disputed").otherwise(F.coalesce(neg, pos, F.lit("unclassified")))
 
 
+def labelled(c: Column | str, labels: dict[str, str], otherwise: str | None = None) -> Column:
+    """The label of a value; `otherwise` for values without one."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])[_c(c)], F.lit(otherwise))
+
+
+def extracted(c: Column | str, pattern: str, group: int = 1, most: int | None = None) -> Column:
+    """What a group of the pattern holds at each of its matches, or at the first `most` of them."""
+    found = F.regexp_extract_all(text(c), F.lit(pattern), F.lit(group))
+    return found if most is None else F.slice(found, 1, most)
+
+
+def before_cue(c: Column | str, cue: str) -> Column:
+    """The text before the first match of cue, or all of it."""
+    at = F.regexp_instr(text(c), F.lit(cue))
+    return F.when(at > 0, F.substring(text(c), F.lit(1), at - 1)).otherwise(text(c))
+
+
+def named(c: Column | str, names: list[tuple[str, str, list[str]]], chain_cue: str) -> Column:
+    """struct(names, collections): the collections that a text names (name, pattern, their keys), in the rules' order.
+
+    Where it speaks of a chain, only what stands before that counts, unless nothing does.
+    """
+    kind = "array<string>"
+
+    def scan(t: Column) -> Column:
+        hit = [F.when(t.rlike(pattern), F.struct(F.lit(name).alias("name"), F.array(*[F.lit(k) for k in keys]).alias("keys"))) for name, pattern, keys in names]
+        return F.array_compact(F.array(*hit))
+
+    first = scan(before_cue(c, chain_cue))
+    found = F.when(F.size(first) > 0, first).otherwise(scan(text(c)))
+    return let(found, lambda f: F.struct(F.transform(f, lambda x: x["name"]).cast(kind).alias("names"), F.array_distinct(F.flatten(F.transform(f, lambda x: x["keys"]))).cast(kind).alias("collections")))
+
+
+def split_tail(c: Column | str, quotes: str, cue: str) -> Column:
+    """struct(quote, tail): a text cut at the first cue after its last closing quote (one of `quotes`); if none follows there,
+    at the first cue of all; without any, the tail is empty. The cue's match begins the tail."""
+    t = text(c)
+    last = F.regexp_extract(t, f"(?s)^.*[{quotes}]", 0)
+    after, whole = F.regexp_instr(F.substring(t, F.length(last) + 1, F.length(t)), F.lit(cue)), F.regexp_instr(t, F.lit(cue))
+    at = F.when(after > 0, F.length(last) + after).otherwise(whole)
+    return let(at, lambda a: F.struct(F.trim(F.when(a > 0, F.substring(t, F.lit(1), a - 1)).otherwise(t)).alias("quote"), F.trim(F.when(a > 0, F.substring(t, a, F.length(t))).otherwise("")).alias("tail")))
+
+
+def split_chain(c: Column | str, marker: str, mention: str, word: str, within: int = 12) -> Column:
+    """struct(isnad, matn, how): a text cut at the first marker; else after the first mention, with `word` too if that follows
+    within so many characters; else it is all matn. Marker is a literal, the others are patterns."""
+    t = text(c)
+    at = F.instr(t, marker)
+    long = f"(?s)^.*?(?:{mention})(?:.{{0,{within}}}?(?:{word}))?"
+    head = F.regexp_extract(t, long, 0)
+    cut = F.when(at > 0, at - 1).when(head != "", F.length(head))
+    how = F.when(at > 0, "marker").when(head != "", "prophet_mention").otherwise("none")
+    rest = F.when(at > 0, F.substring(t, at + len(marker), F.length(t))).when(head != "", F.substring(t, F.length(head) + 1, F.length(t))).otherwise(t)
+    return F.struct(F.trim(F.coalesce(F.substring(t, F.lit(1), cut), F.lit(""))).alias("isnad"), F.trim(rest).alias("matn"), how.alias("how"))
+
+
+def items(c: Column | str, opener: str, closer: str) -> Column:
+    """The parts of a text that run from each opener to the next closer (or the end), without what stands between them."""
+    return F.transform(F.regexp_extract_all(text(c), F.lit(f"(?s){opener}.*?(?={closer}|\\z)"), F.lit(0)), lambda x: F.trim(x))
+
+
+def matches(c: Column, pattern: str) -> Column:
+    """array<struct<start,end,text>> of the leftmost matches that don't overlap; places count from 0."""
+    found = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+    gaps = F.split(c, pattern)
+
+    def step(acc: Column, i: Column) -> Column:
+        m = F.get(found, i)
+        start = acc["at"] + F.length(F.get(gaps, i))
+        return F.struct((start + F.length(m)).alias("at"), F.array_append(acc["out"], F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("text"))).alias("out"))
+
+    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+    first = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    return F.when(F.size(found) > 0, F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), first, step, lambda acc: acc["out"])).otherwise(none)
+
+
 def same_names(a: Column, b: Column) -> Column:
     """Whether two name sets share a name; null if either is empty."""
     return F.when((F.size(a) > 0) & (F.size(b) > 0), F.arrays_overlap(a, b))
@@ -171,6 +267,24 @@ def page_segments(c: Column | str, mark: str, number: str) -> Column:
     return F.arrays_zip(numbers.alias("mark"), parts.alias("text"))
 
 
+#: A page mark: it ends page P of volume V.
+PAGE_MARK = r"Page(?:End)?V(\d+)P(\d+)"
+
+
+def exact_pages(c: Column | str, vol: Column, page_before: Column) -> Column:
+    """array<struct<vol,page,text>>: a text cut at its page marks. It starts on the page after page_before; after a mark of
+    page P comes page P + 1 of the mark's volume."""
+    parts = F.split(text(c), PAGE_MARK)
+    vols, pages = (F.transform(F.regexp_extract_all(text(c), F.lit(PAGE_MARK), F.lit(g)), lambda x: x.cast("int")) for g in (1, 2))
+    first = F.struct(vol.cast("int").alias("vol"), (page_before + 1).cast("int").alias("page"))
+    later = F.transform(F.arrays_zip(vols.alias("v"), pages.alias("p")), lambda z: F.struct(z["v"].alias("vol"), (z["p"] + 1).alias("page")))
+    return F.zip_with(F.concat(F.array(first), later), parts, lambda a, t: F.struct(a["vol"].alias("vol"), a["page"].alias("page"), t.alias("text")))
+
+
+def page_name(vol: Column, page: Column) -> Column:
+    return F.concat_ws(":", vol.cast("string"), page.cast("string"))
+
+
 def locator(parts: dict[str, Column]) -> Column:
     """`name=value` of the values that aren't null."""
     return F.concat_ws(" ", *[F.when(v.isNotNull(), F.concat(F.lit(f"{k}="), v.cast("string"))) for k, v in parts.items()])
@@ -203,6 +317,27 @@ def compact(c: Column | str) -> tuple[Column, Column]:
     return F.when(_c(c).rlike(r"^[0-9]{1,18}$"), _c(c).cast("long")), _c(c)
 
 
+def decimal(c: Column | str) -> Column:
+    """A text as a number, or null; with a comma or a point."""
+    return F.replace(F.trim(_c(c)), F.lit(","), F.lit(".")).try_cast("double")
+
+
+def entry_id(c: Column | str, size: int = 100_000) -> Column:
+    """A short number of a text: its crc32 sum, modulo size."""
+    return F.crc32(text(c).cast("binary")) % size
+
+
+def json_get(c: Column | str, path: str, default: str = "") -> Column:
+    """A nested value of a JSON text (keys between dots), or default."""
+    return F.coalesce(F.get_json_object(_c(c), f"$.{path}"), F.lit(default))
+
+
+def json_peek(c: Column | str, key: str = "id") -> Column:
+    """The value of a key of a JSON line, by a pattern alone: cheaper than parsing, for filters before it. Null if it isn't there."""
+    value = F.regexp_extract(text(c), f'"{key}"\\s*:\\s*"?([^",}}]*)', 1)
+    return F.when(value != "", F.trim(value))
+
+
 def excerpt(toks: Column, start: Column, stop: Column, around: int) -> Column:
     """The tokens from start to stop and `around` on either side, with an ellipsis where more stands."""
 
@@ -213,16 +348,18 @@ def excerpt(toks: Column, start: Column, stop: Column, around: int) -> Column:
     return let(toks, body)
 
 
-def near_cues(toks: Column, start: Column, stop: Column, rules: dict[str, list[str]], before: int = 15, after: int = 50, most: int = 4) -> Column:
-    """For each class the distinct cue words near a match, sorted, at most `most`: array<struct<class, words>>."""
+def near_cues(toks: Column, start: Column, stop: Column, rules: dict[str, str], before: int = 15, after: int = 50, most: int = 4) -> Column:
+    """For each class the distinct matches of its pattern in the words near a match, sorted, at most `most`:
+    array<struct<class, words>>. Patterns are looked for in the words with a space between them and around them."""
 
     def body(t: Column) -> Column:
         lo = F.greatest(start - before, F.lit(0))
-        part = F.slice(t, lo + 1, stop + after + 1 - lo)
-        def words_of(ws: list[str]) -> Column:
-            return F.slice(F.array_sort(F.array_distinct(F.filter(part, lambda w: w.isin(*ws)))), 1, most)
+        part = F.concat(F.lit(" "), F.array_join(F.slice(t, lo + 1, stop + after + 1 - lo), " "), F.lit(" "))
+
+        def hits(pattern: str) -> Column:
+            return F.slice(F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(part, F.lit(pattern), F.lit(0)), lambda x: F.trim(x)))), 1, most)
 
-        found = [F.struct(F.lit(c).alias("class"), words_of(ws).alias("words")) for c, ws in rules.items()]
+        found = [F.struct(F.lit(c).alias("class"), hits(x).alias("words")) for c, x in rules.items()]
         return F.filter(F.array(*found), lambda s: F.size(s["words"]) > 0)
 
     return let(toks, body)

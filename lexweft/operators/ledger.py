@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import cite
+
 
 def current(entries: DataFrame) -> DataFrame:
     """Entries (id, status, links array<struct<rel,to>>) that aren't superseded, by status or by another's link."""
@@ -60,3 +62,37 @@ def agreement(stances: DataFrame, voice: str, target: str, stance: str) -> DataF
 def errors(rules: dict[str, Column]) -> Column:
     """The names of the rules whose offence holds for a row, joined by commas."""
     return F.concat_ws(",", *[F.when(c, F.lit(name)) for name, c in rules.items()])
+
+
+def matching_cites(cites: DataFrame, records: DataFrame) -> DataFrame:
+    """(cite, found) of the records (id, folder) that entries cite: those that name a folder are looked for in that folder
+    only, so that others aren't read; the rest anywhere."""
+    wanted = cites.select(F.col("cite").alias("id")).distinct()
+    there = cite.fetched(records, wanted).select(F.col("id").alias("r_")).distinct()
+    return wanted.join(there, F.col("id") == F.col("r_"), "left").select(F.col("id").alias("cite"), F.col("r_").isNotNull().alias("found"))
+
+
+def open_questions(entries: DataFrame) -> DataFrame:
+    """(id, title) of current entries of type question that no current entry answers."""
+    now = current(entries)
+    answered = now.select(F.explode("links").alias("l")).where(F.col("l.rel") == "answers").select(F.col("l.to").alias("q_")).distinct()
+    return now.where(F.col("type") == "question").join(answered, F.col("id") == F.col("q_"), "left_anti").select("id", "title")
+
+
+def inferences(entries: DataFrame) -> DataFrame:
+    """(id, title, basis) of current entries of type inference, with what they rest on, sorted."""
+    now = current(entries).where(F.col("type") == "inference")
+    basis = F.array_sort(F.transform(F.filter("links", lambda x: x["rel"] == "rests_on"), lambda x: x["to"]))
+    return now.select("id", "title", F.array_join(basis, ",").alias("basis"))
+
+
+def tree(entries: DataFrame, depth: int = 4) -> DataFrame:
+    """(root, id, depth, path) of current entries under those that are part of nothing, down to `depth` steps of part_of."""
+    now = current(entries)
+    parts = now.select("id", F.explode("links").alias("l")).where(F.col("l.rel") == "part_of").select(F.col("id").alias("child"), F.col("l.to").alias("parent"))
+    level = now.join(parts.select("child").distinct(), F.col("id") == F.col("child"), "left_anti").select(F.col("id").alias("root"), "id", F.lit(0).alias("depth"), F.col("id").alias("path"))
+    out = level
+    for k in range(1, depth + 1):  # a few levels of a small table: one join each
+        level = level.join(parts, F.col("id") == F.col("parent")).select("root", F.col("child").alias("id"), F.lit(k).alias("depth"), F.concat_ws("/", "path", "child").alias("path"))
+        out = out.unionByName(level)
+    return out

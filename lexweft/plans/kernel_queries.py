@@ -8,10 +8,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K, text as T
-from ..operators import collate as C, graph, match as M, search as S
+from ..operators import collate as C, graph, match as M, passages as P, search as S
 from ..sources import readers, sinks
-from ._register import posts_sql, query, table
-from .match_queries import _verse_hits
+from ._register import clean_sql, posts_sql, query, table
+from .match_queries import LOOSE
 
 
 def shared_path(spark, name: str) -> str:
@@ -68,26 +68,55 @@ def s10_text_lines(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.trim("line") != "")
 
 
-@query("SELECT doc_id FROM documents WHERE contains(text, 'licensed')")
+@query(f"SELECT doc_id FROM documents WHERE contains(' ' || {clean_sql()} || ' ', ' rights reserved ')")
 def p9_prefilter(spark, sf):
-    """Raw lines are tested before they are decoded; the result is that of decoding all."""
+    """Raw lines are tested for the phrase's longest word, in any spelling, before they are decoded; the result is that of decoding all."""
     path = shared_path(spark, "raw")
     table(spark, sf, "documents").select(F.to_json(F.struct("doc_id", "text")).alias("value")).write.text(path)
-    return readers.prefiltered_json_lines(spark, path, "licensed", "doc_id long, text string").where(F.contains("text", F.lit("licensed"))).select("doc_id")
+    pattern = S.line_pattern("Rights RÉSERVED", {"e": "éèêë", "s": "ß"}, r"\x{0300}-\x{036F}")
+    d = readers.prefiltered_json_lines(spark, path, pattern, "doc_id long, text string")
+    return S.phrase_scan(d, {"p": S.phrase_pattern("rights reserved")}).select("doc_id")
 
 
-@query("SELECT source, count(*) AS n FROM documents GROUP BY source")
+@query("SELECT doc_id, source, lang, n_chars, md5(text) AS md5 FROM documents")
 def k1_export_lines(spark, sf):
+    """All columns exported as gzipped JSON lines, and read back."""
     path = shared_path(spark, "export")
-    sinks.export_lines(table(spark, sf, "documents").select("doc_id", "source"), path)
-    return spark.read.schema("doc_id long, source string").json(path).groupBy("source").agg(F.count("*").alias("n"))
+    sinks.export_lines(table(spark, sf, "documents"), path)
+    back = spark.read.schema("doc_id long, text string, lang string, source string, n_chars long").json(path)
+    return back.select("doc_id", "source", "lang", "n_chars", F.md5(F.col("text").cast("binary")).alias("md5"))
+
+
+@query("SELECT 1 AS versions, count(*) AS units FROM nation")
+def k1_reproducible(spark, sf):
+    """Two exports of the same rows, in another order, have the same bytes."""
+    paths = [f"{shared_path(spark, 'lines')}.jsonl.gz" for _ in range(2)]
+    for path, rows in zip(paths, (table(spark, sf, "nation"), table(spark, sf, "nation").orderBy(F.desc("n_name"))), strict=True):
+        sinks.export_reproducible(rows, path, ["n_nationkey"])
+    files = spark.read.format("binaryFile").load(paths).select(F.sha2("content", 256).alias("sha"))
+    units = spark.read.text(paths[0]).agg(F.count("*").alias("units"))
+    return files.agg(F.countDistinct("sha").cast("int").alias("versions")).join(units, F.lit(True))
 
 
-@query("SELECT lang, count(*) AS n, sum(n_chars) AS chars FROM documents GROUP BY lang")
+@query(f"""WITH p AS {posts_sql()}, f AS (SELECT term, count(*) AS freq, count(DISTINCT uid) AS df FROM p GROUP BY 1) SELECT 'postings' AS part, md5(string_agg(uid || ':' || pos, ',' ORDER BY uid, pos)) AS value FROM p WHERE term = 'license' UNION ALL SELECT 'vocabulary', freq || ':' || df FROM f WHERE term = 'idiot' UNION ALL SELECT 'units', CAST(sum(n_chars) AS VARCHAR) FROM documents
+    UNION ALL SELECT 'texts', md5(string_agg(md5(text), ',' ORDER BY doc_id)) FROM documents UNION ALL SELECT 'meta', 'latin:' || (SELECT count(*) FROM p) || ':' || (SELECT count(DISTINCT uid) FROM p)""")
 def k2_partitioned_build(spark, sf):
-    path = shared_path(spark, "units")
-    sinks.overwrite_partitions(table(spark, sf, "documents").drop("text"), path, ["lang"])
-    return spark.read.parquet(path).groupBy("lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+    """The stored search index: units with their texts, postings and vocabulary by term, meta data; read back by term."""
+    path = shared_path(spark, "index")
+    paths = sinks.stored_index(table(spark, sf, "documents"), path)
+    posts = sinks.postings_of(spark, path, ["license"])
+    place = F.concat_ws(":", F.col("uid").cast("string"), F.col("pos").cast("string"))
+    listed = posts.groupBy().agg(F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("uid", "pos", place.alias("p")))), lambda x: x["p"]), ",").cast("binary")).alias("value"))
+    units = spark.read.parquet(paths["units"])
+    texts = units.select("doc_id", F.md5(F.col("text").cast("binary")).alias("m")).groupBy().agg(F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "m"))), lambda x: x["m"]), ",").cast("binary")).alias("value"))
+    words = spark.read.parquet(paths["vocabulary"]).where("term = 'idiot'").select(F.concat_ws(":", F.col("freq").cast("string"), F.col("df").cast("string")).alias("value"))
+    meta = spark.read.parquet(paths["meta"]).select(F.concat_ws(":", "profile", F.col("tokens").cast("string"), F.col("units").cast("string")).alias("value"))
+    parts = {"postings": listed, "vocabulary": words, "units": units.agg(F.sum("n_chars").cast("string").alias("value")), "texts": texts, "meta": meta}
+    out = None
+    for name, df in parts.items():
+        part = df.select(F.lit(name).alias("part"), "value")
+        out = part if out is None else out.union(part)
+    return out
 
 
 @query("SELECT 2 * count(*) AS n, count(DISTINCT doc_id) AS ids FROM labels")
@@ -122,17 +151,22 @@ def s11_verse_lines(spark, sf):
     return readers.verse_lines(lines).select(F.col("sura").cast("long").alias("sura"), F.col("aya").cast("long").alias("aya"), F.md5(F.col("text").cast("binary")).alias("md5"))
 
 
-@query("SELECT doc_id, md5(nfc_normalize(text)) AS md5 FROM documents")
+GLYPHS = {"\ue000": "a", "\ue001": "fi"}
+
+
+@query("""WITH t AS (SELECT doc_id, replace(replace(coalesce(text, ''), 'a', chr(57344)), 'fi', chr(57345) || chr(8206)) AS t FROM documents) SELECT doc_id, md5(nfc_normalize(regexp_replace(replace(replace(replace(t, chr(57344), 'a'), chr(57345), 'fi'), chr(8206), ''), 'l+', 'l', 'g'))) AS md5 FROM t""")
 def s12_clean_layer(spark, sf):
-    """Texts are clean already, so cleaning leaves them; the kernel's rules have unit tests."""
-    return table(spark, sf, "documents").select("doc_id", F.md5(K.column(lambda t: K.clean_layer(t, {}), "string", F.col("text")).cast("binary")).alias("md5"))
+    """Texts written with a font's own glyphs and direction marks, cleaned: letters again, a doubled glyph once."""
+    t = F.replace(F.replace(T.text("text"), F.lit("a"), F.lit("\ue000")), F.lit("fi"), F.lit("\ue001\u200e"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(K.column(lambda x: K.clean_layer(x, GLYPHS, "l"), "string", t).cast("binary")).alias("md5"))
 
 
-@query()
+@query("""WITH c AS (SELECT conv_id, turn, role || ' ' || coalesce(text, '') AS v, role FROM conversations), u AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS unit FROM c), f AS (SELECT *, sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, unit ORDER BY turn) AS since FROM u WHERE unit > 0),
+    g AS (SELECT *, sum(CASE WHEN since > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, unit ORDER BY turn) AS after FROM f) SELECT CAST(conv_id AS VARCHAR) AS path, unit, 'user' AS number, md5(coalesce(string_agg(v, ' ' ORDER BY turn) FILTER (WHERE since = 0), '')) AS text, md5(coalesce(string_agg(v, ' ' ORDER BY turn) FILTER (WHERE after BETWEEN 1 AND 2), '')) AS verdict FROM g GROUP BY conv_id, unit""")
 def s14_marked_verdicts(spark, sf):
-    c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("path"), F.col("turn").alias("line"), F.concat_ws(" ", "role", "text").alias("value"))
+    c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("path"), F.col("turn").alias("line"), F.concat_ws(" ", "role", T.text("text")).alias("value"))
     out = readers.marked_verdicts(c, "path", "line", "value", "^(user)", "^assistant", 1)
-    return out.select("path", "number", F.length("text").alias("n_text"), F.length("verdict").alias("n_verdict"))
+    return out.select("path", "unit", "number", F.md5(F.col("text").cast("binary")).alias("text"), F.md5(F.col("verdict").cast("binary")).alias("verdict"))
 
 
 @query("SELECT doc_id, source FROM documents WHERE 'work-' || source NOT IN (SELECT 'work-src' || n_nationkey FROM nation WHERE n_regionkey < 2)")
@@ -153,39 +187,48 @@ def k3_staged_build(spark, sf):
     return spark.read.parquet(path).agg(F.count("*").alias("n")).crossJoin(status)
 
 
-@query()
+@query("SELECT '| lang | n |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || lang || ' | ' || n || ' |', chr(10) ORDER BY lang) || chr(10) AS page FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang)")
 def k6_markdown(spark, sf):
     text = sinks.markdown(table(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang"))
     return spark.createDataFrame([(text,)], "page string")
 
 
-@query()
+@query("""WITH t AS (SELECT p_partkey, string_split(p_name || ' ' || lower(p_type) || ' end', ' ') AS w FROM part), e AS (SELECT p_partkey, i, w[i] AS x, CASE WHEN regexp_matches(w[i], '^(?:small|large|standard|promo)') THEN 'open' WHEN w[i] IN ('end', 'ring', 'brass') THEN 'close' END AS m FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM t)),
+    s AS (SELECT *, last_value(m IGNORE NULLS) OVER (PARTITION BY p_partkey ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS state FROM e) SELECT p_partkey, coalesce(string_agg(x, ' ' ORDER BY i) FILTER (WHERE x <> '' AND coalesce(state, 'close') = 'close'), '') AS name FROM s GROUP BY p_partkey""")
 def f11_strip_gloss(spark, sf):
-    name = K.column(lambda t: K.strip_gloss(t, "(?i)small|large|medium", frozenset({"steel", "brass", "copper"})), "string", F.col("p_name"))
+    words = F.concat_ws(" ", "p_name", F.lower("p_type"), F.lit("end"))
+    name = K.column(lambda t: K.strip_gloss(t, "small|large|standard|promo", frozenset({"end", "ring", "brass"})), "string", words)
     return table(spark, sf, "part").select("p_partkey", name.alias("name"))
 
 
-@query()
+@query(r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '') AS w FROM documents), c AS (SELECT doc_id, unnest(list_filter(range(1, len(w) + 1), lambda i: trim(w[i], ',.;:') IN ('de', 'of', 'von'))) AS i, w FROM w),
+    n AS (SELECT doc_id, i, trim(array_to_string(w[i + 1:], ' '), ' ,.;:') AS name FROM c WHERE len(w) - i <= 40) SELECT d.doc_id, arg_max(name, i) AS narrator FROM documents d LEFT JOIN (SELECT * FROM n WHERE length(name) BETWEEN 2 AND 40 AND regexp_matches(name, '\p{L}')) n USING (doc_id) GROUP BY d.doc_id""")
 def f14_last_name(spark, sf):
     name = K.column(lambda t: K.last_name(t, frozenset({"de", "of", "von"})), "string", F.col("text"))
     return table(spark, sf, "documents").select("doc_id", name.alias("narrator"))
 
 
-@query()
+@query(r"""WITH s AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract(coalesce(text, ''), '(?s)^.*[.!]', 0) AS l FROM documents), a AS (SELECT *, regexp_matches(substr(t, length(l) + 1), 'licensed|rights') AS late, regexp_matches(t, 'licensed|rights') AS early FROM s),
+    c AS (SELECT *, CASE WHEN late THEN length(l) + length(regexp_extract(substr(t, length(l) + 1), '(?s)^(.*?)(?:licensed|rights)', 1)) WHEN early THEN length(regexp_extract(t, '(?s)^(.*?)(?:licensed|rights)', 1)) ELSE length(t) END AS cut FROM a)
+    SELECT doc_id, md5(trim(substr(t, 1, cut), ' ')) AS quote, md5(trim(substr(t, cut + 1), ' ')) AS tail FROM c""")
 def f23_split_tail(spark, sf):
-    tail = K.column(lambda t: K.split_tail(t, ".!", "licensed|rights")[1], "string", F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.length(tail).alias("n_tail"))
+    """Quotation and tail: from the first cue after the last closing mark, else from the first one of all."""
+    s = T.split_tail("text", ".!", "licensed|rights")
+    return table(spark, sf, "documents").select("doc_id", s.alias("s")).select("doc_id", F.md5(F.col("s.quote").cast("binary")).alias("quote"), F.md5(F.col("s.tail").cast("binary")).alias("tail"))
 
 
-@query(r"SELECT doc_id, len(regexp_extract_all(text, '(?:^|\n)[^\n]+', 0)) AS n FROM documents")
+@query(r"SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[A-Z][^A-Z]*', 0)) AS n, md5(array_to_string(list_transform(regexp_extract_all(coalesce(text, ''), '[A-Z][^A-Z]*', 0), lambda x: trim(x, ' ')), '|')) AS items FROM documents")
 def f24_items(spark, sf):
-    n = K.column(lambda t: len(K.items(t, r"(?:^|\n)[^\n]", r"\n(?=[^\n])")), "long", F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", n.alias("n"))
+    """The parts of a text that run from a capital to the next."""
+    i = T.items("text", "[A-Z]", "[A-Z]")
+    return table(spark, sf, "documents").select("doc_id", F.size(i).cast("long").alias("n"), F.md5(F.array_join(i, "|").cast("binary")).alias("items"))
 
 
-@query("SELECT doc_id, true AS nfc FROM documents")
+@query("WITH t AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN replace(coalesce(text, ''), 'é', 'e' || chr(769)) ELSE coalesce(text, '') END AS t FROM documents) SELECT doc_id, t = nfc_normalize(t) AS nfc FROM t")
 def f38_nfc(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", K.column(K.is_nfc, "boolean", F.col("text")).alias("nfc"))
+    """Texts of which half are decomposed, if they have the letter."""
+    t = F.when(F.col("doc_id") % 2 == 0, F.replace(T.text("text"), F.lit("é"), F.lit("e\u0301"))).otherwise(T.text("text"))
+    return table(spark, sf, "documents").select("doc_id", K.column(K.is_nfc, "boolean", t).alias("nfc"))
 
 
 @query()
@@ -198,24 +241,11 @@ def f42_letter_similarity(spark, sf):
     return pairs.select("term", "next", F.round(K.column(K.letter_ratio, "double", F.col("term"), F.col("next")), 6).alias("ratio"))
 
 
-@query()
+@query(f"SELECT uid FROM (SELECT DISTINCT uid FROM {posts_sql()} WHERE term IN ('license', 'idiot')) ORDER BY md5('12:' || uid), uid LIMIT 25")
 def p12_audit_sample(spark, sf):
     """A seeded sample of hits, the same whatever the partitioning: the 25 smallest hashes."""
     hits = S.match_any(S.postings(table(spark, sf, "documents")), ["license", "idiot"])
-    return hits.orderBy(F.xxhash64("uid", F.lit(12)), "uid").limit(25)
-
-
-@query(f"SELECT count(*) AS words, sum(freq) AS tokens, count(DISTINCT substr(term, 1, 3)) AS roots FROM (SELECT term, count(*) AS freq FROM {posts_sql()} GROUP BY term)")
-def q14_root_analysis(spark, sf):
-    """Each distinct word is analysed once, with a pluggable analyser (here its first three letters)."""
-    vocabulary = S.vocabulary(S.postings(table(spark, sf, "documents")))
-
-    def analyse(batches):
-        for b in batches:
-            yield pd.DataFrame({"term": b["term"], "freq": b["freq"], "root": b["term"].str[:3]})
-
-    out = vocabulary.mapInPandas(analyse, "term string, freq long, root string")
-    return out.agg(F.count("*").alias("words"), F.sum("freq").alias("tokens"), F.countDistinct("root").alias("roots"))
+    return hits.orderBy(F.md5(F.concat(F.lit("12:"), F.col("uid").cast("string")).cast("binary")), "uid").limit(25)
 
 
 @query()
@@ -225,10 +255,11 @@ def g2_dictionary_parse(spark, sf):
     return table(spark, sf, "part").select("p_partkey", entry.alias("e")).select("p_partkey", "e.name", "e.grade", "e.rank", "e.codes")
 
 
-@query()
+@query(r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(' ' || string_split(coalesce(text, ''), chr(10))[-1] || ' ', '[\s,:.]+'), lambda x: x <> '') AS w FROM documents), e AS (SELECT doc_id, i, w[i] AS x, w[i] IN ('the', 'of', 'de', 'der', 'la') AS sep FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d)), g AS (SELECT *, sum(CASE WHEN sep THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS part FROM e),
+    n AS (SELECT doc_id, part, string_agg(x, ' ' ORDER BY i) AS name FROM g WHERE NOT sep GROUP BY 1, 2 HAVING count(*) <= 9) SELECT d.doc_id, count(n.part) AS n_names, md5(coalesce(string_agg(name, '|' ORDER BY part), '')) AS names FROM documents d LEFT JOIN n USING (doc_id) GROUP BY d.doc_id""")
 def g8_chain_names(spark, sf):
     names = K.column(lambda t: K.chain_names(t, frozenset({"the", "of", "de", "der", "la"}), frozenset(), r"\n"), "array<string>", F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.size(names).alias("n_names"))
+    return table(spark, sf, "documents").select("doc_id", names.alias("n")).select("doc_id", F.size("n").cast("long").alias("n_names"), F.md5(F.array_join("n", "|").cast("binary")).alias("names"))
 
 
 @query()
@@ -247,10 +278,17 @@ def g6_alignment(spark, sf):
 
 @query()
 def w3_differences(spark, sf):
-    """Word differences of each document and the passage it quotes best, over its whole text."""
-    best = _verse_hits(spark, sf).where("h >= 2").groupBy("doc_id").agg(F.max_by("item_id", F.struct("h", -F.col("item_id"))).alias("item_id"))
-    d, b = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark").select("item_id", F.col("text").alias("passage"))
-    return C.differences(best.join(b, "item_id").join(d, "doc_id"), ["doc_id", "item_id"], "passage", "text")
+    """Each document and the passage it quotes best, compared where the offset votes place it."""
+    from .match_queries import _hits
+
+    best = P.cited_only(_hits(spark, sf)).where("how = 'lemma'").select("record", "passage")
+    b = table(spark, sf, "benchmark")
+    grams = C.gram_positions(b, "item_id", "text", 5)
+    votes = C.offset_votes(C.gram_positions(table(spark, sf, "documents"), "doc_id", "text", 5, 4, wanted=grams), grams).select(F.col("w").alias("record"), F.col("r").alias("passage"), "offset")
+    texts = best.join(votes, ["record", "passage"]).join(b.select(F.col("item_id").alias("passage"), F.array_join(T.tokens("text"), " ").alias("a")), "passage")
+    texts = texts.join(table(spark, sf, "documents").select(F.col("doc_id").alias("record"), F.array_join(T.tokens("text"), " ").alias("b")), "record")
+    out = texts.select("record", "passage", K.column(C.compared, C.COMPARED, F.col("a"), F.col("b"), F.col("offset")).alias("c")).select("record", "passage", "c.*")
+    return out.select("record", "passage", F.round("agreement", 4).alias("agreement"), F.round("word_agreement", 4).alias("word_agreement"), "first", "last", F.size("diffs").alias("n_diffs"))
 
 
 @query()
@@ -259,16 +297,17 @@ def w9_readings(spark, sf):
 
     Those that are 93 per cent alike are one family, over any number of links, and have one vote together.
     """
-    surface = lambda c: F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    spelling = lambda c: F.transform(surface(c), lambda w: F.concat(F.lit("="), w))
+    spelling = lambda c: F.transform(T.surface(c), lambda w: F.concat(F.lit("="), w))
     b = table(spark, sf, "benchmark")
     lexicon = S.vocabulary(S.postings(b, "item_id")).select("term", "freq").union(b.select(F.explode(spelling("text")).alias("term")).groupBy("term").agg(F.count("*").alias("freq"))).where("freq >= 2")
-    found = graph.checkpointed(M.jaccard_pairs(M.gram_table(table(spark, sf, "documents"), "doc_id", "text", 5), 80))
-    family = graph.components(found.where(100 * F.col("votes") >= 93 * (F.col("n_a") + F.col("n_b") - F.col("votes"))).select("a", "b"))
+    # Documents with the same runs of words are one witness, and one record.
+    sets, _ = M.equal_sets(M.gram_table(table(spark, sf, "documents"), "doc_id", "text", 5))
+    found = graph.checkpointed(M.set_pairs(sets, 80))
+    family = graph.components(graph.checkpointed(found.where(100 * F.col("votes") >= 93 * (F.col("n_a") + F.col("n_b") - F.col("votes"))).select("a", "b")))
     pairs = found.select("a", "b").union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = pairs.join(family.select(F.col("node").alias("b"), "component"), "b", "left").select("a", "b", F.coalesce("component", "b").alias("family"))
     t = table(spark, sf, "documents").select("doc_id", "text")
-    records = t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).where(F.size(surface("ta")) >= 15)
+    records = t.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).where(F.size(T.surface("ta")) >= 15)
     sides = pairs.join(records, "a").join(t.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
     named = lambda x, y: [dict(zip(("tag", "i", "j", "words"), e, strict=True)) for e in C.edits(x, y)]
     ops = K.column(named, "array<struct<tag:string,i:int,j:int,words:array<string>>>", F.col("ta"), F.col("tb"))
@@ -289,26 +328,26 @@ def w9_readings(spark, sf):
 
 @query()
 def i2_placement(spark, sf):
-    """Each source is a work, its documents are its records, the benchmark's passages are the verses."""
-    hits = _verse_hits(spark, sf).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("item_id").cast("int"), F.col("h").cast("int")))).alias("by"))
-    records = table(spark, sf, "documents").select("doc_id", "source").join(hits, "doc_id", "left")
+    """Each source is a work, its documents are its records in order, the benchmark's passages are the verses."""
+    from .match_queries import _hits
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id")
-        by = [dict(x) if x is not None else {} for x in pdf["by"]]
-        rows = K.place([(r, 0, b, None) for r, b in zip(pdf.doc_id, by, strict=True)])
-        return pd.DataFrame([(pdf.source.iloc[0], *r) for r in rows], columns=["source", "doc_id", "item_id", "how", "hits"])
-
-    return records.groupBy("source").applyInPandas(run, "source string, doc_id long, item_id int, how string, hits int")
+    heading = F.when(F.col("n_chars") % 50 == 0, F.struct(F.lit(0).cast("long").alias("g"), (F.col("n_chars") % 40).alias("n"), (F.col("n_chars") % 40).alias("passage")))
+    out = P.placed(table(spark, sf, "documents"), _hits(spark, sf), "source", "doc_id", "doc_id", F.floor(F.col("passage") / 20).cast("long"), F.col("passage"), heading)
+    return out.select("work", "record", "passage", "how", "hits")
 
 
-@query()
+@query(f"""WITH {LOOSE} SELECT q, '[' || string_agg('{{"uid":' || uid || ',"start":' || start || ',"stop":' || stop || '}}', ',' ORDER BY num DESC, uid) || ']' AS hits, count(*) || ' hits, best ' || max(num * 100 // den) || ' %' AS brief, string_agg(uid || ' (' || num * 100 // den || ' %)', '; ' ORDER BY num DESC, uid) AS long FROM loose GROUP BY q""")
 def m9_json_rendering(spark, sf):
-    """One JSON document for each query of the loose matcher, with its hits in order."""
+    """For each query of the loose matcher its hits as JSON, as one line, and as a list."""
     from .match_queries import _loose
 
-    hit = F.struct((-F.col("num")).alias("order"), "uid", "start", "stop")
-    return _loose(spark, sf).groupBy("q").agg(F.to_json(F.transform(F.sort_array(F.collect_list(hit)), lambda h: F.struct(h["uid"].alias("uid"), h["start"].alias("start"), h["stop"].alias("stop")))).alias("hits"))
+    percent = F.floor(F.col("num") * 100 / F.col("den"))
+    hit = F.struct((-F.col("num")).alias("order"), "uid", "start", "stop", percent.alias("percent"))
+    hits = _loose(spark, sf).groupBy("q").agg(F.sort_array(F.collect_list(hit)).alias("h"))  # of one query
+    as_json = F.to_json(F.transform("h", lambda h: F.struct(h["uid"].alias("uid"), h["start"].alias("start"), h["stop"].alias("stop"))))
+    brief = F.concat(F.size("h").cast("string"), F.lit(" hits, best "), F.array_max(F.transform("h", lambda h: h["percent"])).cast("string"), F.lit(" %"))
+    listed = F.array_join(F.transform("h", lambda h: F.concat(h["uid"].cast("string"), F.lit(" ("), h["percent"].cast("string"), F.lit(" %)"))), "; ")
+    return hits.select("q", as_json.alias("hits"), brief.alias("brief"), listed.alias("long"))
 
 
 @query("SELECT 25 AS units, 1 AS files")
@@ -334,7 +373,9 @@ def s16_catalog_import(spark, sf):
     return works.join(units.groupBy("work").agg(F.count("*").alias("units")), "work", "left").fillna(0, ["units"])
 
 
-@query()
+@query("""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents), c AS (SELECT doc_id, w, list_position(w, 'idiot') AS p FROM w WHERE list_contains(w, 'idiot')), n AS (SELECT doc_id, x, count(*) AS n FROM (SELECT doc_id, unnest(w) AS x FROM c) GROUP BY 1, 2),
+    own AS (SELECT doc_id, list(x) AS own FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, x) AS r FROM n) WHERE r <= 10 GROUP BY 1), s AS (SELECT doc_id, w, p, coalesce(list_max(list_filter(range(1, p), lambda i: NOT list_contains(own, w[i]))), 0) AS stop FROM c JOIN own USING (doc_id))
+    SELECT doc_id, array_to_string(list_slice(w, stop + 1, p - 1), ' ') AS name FROM s""")
 def f26_name_before(spark, sf):
     """The words before `idiot` in each document, back to the last one that isn't among its ten most frequent words."""
 
@@ -409,5 +450,3 @@ def stream_windows(spark, sf):
     from ..streaming import ingest
 
     return ingest.windowed_counts(spark, f"{sf}/events.parquet", shared_path(spark, "windows"))
-
-

@@ -6,41 +6,66 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import collate as C, ledger as L, match as M, search as S, segment as G
-from ..sources import sinks
+from ..functions.profiles import LATIN
+from ..operators import catalog as A, collate as C, graph, ledger as L, match as M, names as N, search as S, segment as G, verdicts as V
+from ..sources import readers, sinks
 from ._register import gram_sql, posts_sql, query, table, tok_sql
 
 # ---- sources
 
 
-@query("SELECT d.doc_id, n.n_name AS work, CASE WHEN n_regionkey = 3 OR lang = 'fr' THEN 'fa' ELSE lang END AS lang, r.first_doc = d.doc_id AS is_primary FROM documents d LEFT JOIN nation n ON n.n_nationkey = CAST(replace(source, 'src', '') AS INTEGER) LEFT JOIN (SELECT source AS s, min(doc_id) AS first_doc FROM documents GROUP BY 1) r ON r.s = d.source WHERE trim(d.text) <> ''")
+@query("""SELECT doc_id, n_name AS work, CASE WHEN n_regionkey = 3 OR n_name = 'NATION_7' THEN 'fa' ELSE 'l' || n_regionkey END AS lang, n_nationkey % 2 = 0 AS primary_version FROM documents JOIN nation ON source = 'src' || n_nationkey WHERE trim(text) <> '' AND NOT starts_with(source, 'src18') AND regexp_matches(lower(n_name), 'on_1|_2')""")
 def s4_catalog_units(spark, sf):
-    d = table(spark, sf, "documents").where(F.trim("text") != "").withColumn("n_nationkey", F.replace("source", F.lit("src"), F.lit("")).cast("int"))
-    first = table(spark, sf, "documents").groupBy("source").agg(F.min("doc_id").alias("first_doc"))
-    out = d.join(table(spark, sf, "nation"), "n_nationkey", "left").join(first, "source", "left")
-    return out.select("doc_id", F.col("n_name").alias("work"), F.when((F.col("n_regionkey") == 3) | (F.col("lang") == "fr"), "fa").otherwise(F.col("lang")).alias("lang"), (F.col("first_doc") == F.col("doc_id")).alias("is_primary"))
+    records = table(spark, sf, "documents").select("doc_id", F.col("source").alias("path"), "text")
+    n = table(spark, sf, "nation").select(F.concat(F.lit("src"), F.col("n_nationkey").cast("string")).alias("path"), F.col("n_name").alias("work"), F.col("n_name").alias("author"), F.concat(F.lit("l"), F.col("n_regionkey").cast("string")).alias("lang"), F.when(F.col("n_regionkey") == 3, "ganjoor").otherwise("other").alias("version"), (F.col("n_nationkey") % 2 == 0).alias("primary"))
+    return A.catalog_units(records, n, persian=("ganjoor", "NATION_7"), skip=("src18",), only=("ON_1", "_2")).select("doc_id", "work", "lang", "primary_version")
 
 
-@query(r"""WITH l AS (SELECT page_id, unnest(x) AS line, unnest(range(len(x))) AS i FROM (SELECT page_id, string_split(html, chr(10)) AS x FROM pages)), f AS (SELECT *, regexp_matches(line, '<h[1-6]|<title') AS h FROM l WHERE trim(line) <> ''),
-    u AS (SELECT page_id, i, line, sum(CASE WHEN h OR regexp_matches(line, '<p|<div|<body') THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS unit FROM f) SELECT page_id, unit, count(*) AS lines, sum(length(line)) AS chars FROM u GROUP BY 1, 2""")
+_MARKED = "array_to_string(list_transform(string_split(coalesce(text, ''), chr(10)), lambda l, i: CASE WHEN i % 7 = 1 THEN '### ' || repeat('|', CAST(1 + length(l) % 3 AS INTEGER)) || ' ' || l WHEN i % 3 = 2 THEN '~~' || l ELSE '# ' || l || ' PageV01P0' || (10 + i % 80) END), chr(10))"
+_LINES = f"(SELECT doc_id, i, l FROM (SELECT doc_id, unnest(x) AS l, unnest(range(len(x))) AS i FROM (SELECT doc_id, string_split({_MARKED}, chr(10)) AS x FROM documents)))"
+
+
+@query(rf"""WITH m AS (SELECT *, CASE WHEN regexp_matches(l, 'PageV\d+P\d+') THEN CAST(regexp_extract(l, '(?s)^.*PageV\d+P(\d+)', 1) AS INTEGER) END AS here FROM {_LINES}), s AS (SELECT *, last_value(here IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS page, sum(CASE WHEN trim(l, ' ') = '' OR starts_with(l, '~~') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS unit FROM m),
+    u AS (SELECT doc_id, unit, max(CASE WHEN regexp_matches(l, '^### \|+') THEN length(regexp_extract(l, '^### (\|+)', 1)) END) AS level, arg_min(coalesce(page, -1), i) AS page, string_agg(regexp_replace(regexp_replace(l, '^(?:### \|+ ?|# |~~)', ''), 'Page(?:End)?V\d+P\d+|ms\d+', ' ', 'g'), ' ' ORDER BY i) AS raw FROM s WHERE trim(l, ' ') <> '' GROUP BY 1, 2)
+    SELECT doc_id, unit, CASE WHEN level IS NULL THEN 'para' ELSE 'heading' END AS kind, level, CASE WHEN page >= 0 THEN page END AS page_before, md5(trim(regexp_replace(raw, '\s+', ' ', 'g'), ' ')) AS text FROM u""")
 def s5_markup_units(spark, sf):
-    lines = table(spark, sf, "pages").select("page_id", F.posexplode(F.split("html", "\n")).alias("i", "line")).where(F.trim("line") != "")
-    u = G.islands(lines, "page_id", "i", F.col("line").rlike("<h[1-6]|<title|<p|<div|<body"))
-    return u.groupBy("page_id", "unit").agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("chars"))
+    """Documents written as marked-up text, each line a heading, a paragraph with a page mark, or more of one; and parsed."""
+    def written(l, i):  # noqa: E741
+        n = i + 1
+        head = F.concat(F.lit("### "), F.repeat(F.lit("|"), 1 + F.length(l) % 3), F.lit(" "), l)
+        return F.when(n % 7 == 1, head).when(n % 3 == 2, F.concat(F.lit("~~"), l)).otherwise(F.concat(F.lit("# "), l, F.lit(" PageV01P0"), (10 + n % 80).cast("string")))
+
+    lines = table(spark, sf, "documents").select(F.col("doc_id").alias("path"), F.posexplode(F.transform(F.split(T.text("text"), "\n"), written)).alias("line", "value"))
+    out = readers.marked_up(lines)
+    return out.select(F.col("path").alias("doc_id"), "unit", "kind", "level", "page_before", F.md5(F.col("text").cast("binary")).alias("text"))
 
 
-@query("SELECT source, lang, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY n_chars DESC, doc_id) AS r FROM documents) WHERE r = 1")
+@query("""WITH v AS (SELECT source, lang, doc_id, n_chars, doc_id % 5 = 0 AS typed, CASE WHEN n_chars % 4 > 0 THEN n_chars % 4 END AS pri FROM documents), b AS (SELECT source, lang, arg_min(doc_id, r) AS doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY typed DESC, pri ASC NULLS LAST, n_chars DESC, doc_id) AS r FROM v) GROUP BY 1, 2)
+    SELECT b.source, b.lang, coalesce(f.doc_id, b.doc_id) AS doc_id FROM b LEFT JOIN (SELECT source, lang, max(doc_id) AS doc_id FROM documents WHERE source = 'src3' GROUP BY 1, 2) f ON f.source = b.source AND f.lang = b.lang""")
 def s15_version_choice(spark, sf):
-    best = F.max_by("doc_id", F.struct("n_chars", -F.col("doc_id"))).alias("doc_id")
-    return table(spark, sf, "documents").groupBy("source", "lang").agg(best)
+    """The best version of each work: typed, then by priority, then the longest; of one work it is named outright."""
+    d = table(spark, sf, "documents")
+    forced = d.where("source = 'src3'").groupBy("source", "lang").agg(F.max("doc_id").alias("doc_id"))
+    return A.best_versions(d, ["source", "lang"], F.col("doc_id") % 5 == 0, F.when(F.col("n_chars") % 4 > 0, F.col("n_chars") % 4), F.col("n_chars"), "doc_id", forced)
+
+
+@query("SELECT coalesce(d.doc_id, p.page_id) AS name, CASE WHEN p.page_id IS NULL THEN 'missing' WHEN d.doc_id IS NULL THEN 'extra' WHEN d.n_chars <> length(p.html) THEN 'mismatch' ELSE 'ok' END AS state FROM documents d FULL JOIN pages p ON p.page_id = d.doc_id")
+def s17_size_check(spark, sf):
+    """Files that should be there against those that are: name and size."""
+    expected = table(spark, sf, "documents").select(F.col("doc_id").alias("name"), F.col("n_chars").alias("size"))
+    return A.size_check(expected, table(spark, sf, "pages").select(F.col("page_id").alias("name"), F.length("html").cast("long").alias("size")))
 
 
-@query("SELECT l_orderkey, l_linenumber, o_custkey || ':' || l_orderkey || CASE WHEN l_linenumber > 1 THEN chr(96 + l_linenumber) ELSE '' END AS new_id, l_linenumber > 1 AS interpolated FROM lineitem JOIN orders ON o_orderkey = l_orderkey")
+@query("SELECT o_orderkey AS place, c_custkey || '/' || o_orderkey || CASE WHEN o_orderkey % 3 = 0 THEN 'a' ELSE '' END AS id, o_orderkey || CASE WHEN o_orderkey % 3 = 0 THEN 'a' ELSE '' END AS number, o_orderkey % 3 = 0 AS interpolation_candidate FROM orders JOIN customer ON c_custkey = o_custkey")
 def s18_renumber(spark, sf):
-    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    later = F.col("l_linenumber") > 1
-    new = F.concat(F.col("o_custkey").cast("string"), F.lit(":"), F.col("l_orderkey").cast("string"), F.when(later, F.chr(96 + F.col("l_linenumber"))).otherwise(""))
-    return table(spark, sf, "lineitem").join(o, "l_orderkey").select("l_orderkey", "l_linenumber", new.alias("new_id"), later.alias("interpolated"))
+    """Orders with the numbers of a table that must agree on the customer; a letter after the number marks an interpolation."""
+    o = table(spark, sf, "orders")
+    number = F.concat(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, "a").otherwise(""))
+    numbers = o.select("o_orderkey", "o_custkey", number.alias("number"))
+    records = o.join(table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi").select("o_orderkey", "o_custkey")
+    id_of = F.concat(F.col("o_custkey").cast("string"), F.lit("/"), F.col("n_number"))
+    out = A.renumbered(records, numbers, ["o_orderkey"], ["o_custkey"], "number", id_of, "first")
+    return out.select(F.col("o_orderkey").alias("place"), "id", F.element_at("concordance", -1)["number"].alias("number"), "interpolation_candidate")
 
 
 # ---- sinks
@@ -58,9 +83,14 @@ def k7_manifest_diff(spark, sf):
     return sinks.manifest_diff(old, table(spark, sf, "pages").select(F.col("page_id").alias("path"), F.md5(F.col("html").cast("binary")).alias("sha")))
 
 
-@query("SELECT sha256(text) AS sha, min(doc_id) AS placed, count(*) - 1 AS skipped FROM documents GROUP BY 1")
+@query("""WITH n AS (SELECT CAST(doc_id AS VARCHAR) AS path, sha256(text) AS sha FROM documents), k AS (SELECT CAST(doc_id AS VARCHAR) AS path, sha256(text) AS sha FROM documents WHERE lang = 'fr' UNION ALL SELECT CAST(doc_id AS VARCHAR), 'other' FROM documents WHERE source = 'src2' AND lang <> 'fr')
+    SELECT n.path, CASE WHEN n.sha IN (SELECT sha FROM k) OR n.path <> min(n.path) OVER (PARTITION BY n.sha) THEN 'skip' WHEN n.path IN (SELECT path FROM k) THEN 'refuse' ELSE 'place' END AS action FROM n""")
 def k8_content_placement(spark, sf):
-    return table(spark, sf, "documents").groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("placed"), (F.count("*") - 1).alias("skipped"))
+    """New files beside known ones: content that is there is skipped, a path with other content refused."""
+    d = table(spark, sf, "documents")
+    path, sha = F.col("doc_id").cast("string").alias("path"), F.sha2("text", 256).alias("sha")
+    known = d.where("lang = 'fr'").select(path, sha).union(d.where("source = 'src2' AND lang <> 'fr'").select(path, F.lit("other")))
+    return A.placement(d.select(path, sha), known)
 
 
 @query("WITH u AS (SELECT s_suppkey AS k, s_name AS name, 0 AS l FROM supplier UNION ALL SELECT c_custkey, c_name, 1 FROM customer), w AS (SELECT k, name FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY l DESC) AS r FROM u) WHERE r = 1) SELECT w.k, coalesce(p_brand, name) AS name FROM w LEFT JOIN part ON p_partkey = w.k")
@@ -93,11 +123,20 @@ def join_anti(spark, sf):
     return table(spark, sf, "customer").join(o, "c_custkey", "left_anti").select("c_custkey")
 
 
-@query("SELECT r_regionkey, count(*) AS n, sum(p_size) AS size FROM part JOIN region ON p_size BETWEEN r_regionkey * 10 + 1 AND r_regionkey * 10 + 10 GROUP BY 1")
+@query("SELECT o_orderkey, i.k FROM orders JOIN (SELECT c_custkey AS k, 1000 * c_custkey AS lo, 1000 * c_custkey + 200 * (c_nationkey + 1) * (c_custkey % 40) AS hi FROM customer) i ON CAST(floor(o_totalprice) AS BIGINT) BETWEEN i.lo AND i.hi")
 def join_interval(spark, sf):
-    # Intervals of one width: the interval's number is an equi-join key, and no nested loop is needed.
-    p = table(spark, sf, "part").withColumn("r_regionkey", F.floor((F.col("p_size") - 1) / 10).cast("int"))
-    return p.join(table(spark, sf, "region").select("r_regionkey"), "r_regionkey").groupBy("r_regionkey").agg(F.count("*").alias("n"), F.sum("p_size").alias("size"))
+    """Orders whose price lies in intervals of very different widths, which overlap."""
+    price = table(spark, sf, "orders").select("o_orderkey", F.floor("o_totalprice").alias("price"))
+    lo = 1000 * F.col("c_custkey")
+    intervals = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), lo.alias("lo"), (lo + 200 * (F.col("c_nationkey") + 1) * (F.col("c_custkey") % 40)).alias("hi"))
+    return A.interval_join(price, intervals, "price", "lo", "hi").select("o_orderkey", "k")
+
+
+@query("SELECT s_suppkey, n_nationkey FROM supplier JOIN nation ON s_acctbal > 300 * n_nationkey AND s_nationkey <> n_nationkey AND contains(s_name, CAST(n_regionkey AS VARCHAR))")
+def join_theta(spark, sf):
+    """A condition without an equality; the smaller side is met whole."""
+    condition = (F.col("s_acctbal") > 300 * F.col("n_nationkey")) & (F.col("s_nationkey") != F.col("n_nationkey")) & F.contains("s_name", F.col("n_regionkey").cast("string"))
+    return A.theta_join(table(spark, sf, "supplier"), table(spark, sf, "nation"), condition).select("s_suppkey", "n_nationkey")
 
 
 @query("SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS after_signup FROM events")
@@ -112,12 +151,15 @@ def join_sequence(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", F.lag("role").over(w).alias("before"), F.lead("role").over(w).alias("after"))
 
 
-@query("SELECT d.doc_id, CASE WHEN p.page_id IS NOT NULL AND p.url LIKE '%1%' THEN p.page_id WHEN c.n = 1 THEN c.one END AS linked FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id LEFT JOIN (SELECT conv_id, count(*) AS n, min(turn) AS one FROM conversations GROUP BY 1) c ON c.conv_id = d.doc_id")
+@query(f"""WITH b AS {gram_sql('benchmark', 'item_id', 3)}, d AS {gram_sql('documents', 'doc_id', 3)}, n AS (SELECT key, count(*) AS n FROM b GROUP BY key), s AS (SELECT b.key AS entry, d.key AS record, count(*) / any_value(n) AS share FROM b JOIN d USING (gram) JOIN n ON n.key = b.key GROUP BY 1, 2),
+    num AS (SELECT entry, arg_min(record, -share * 1000000 + record / 1e9) AS r FROM s WHERE record % 40 = entry AND share >= 0.25 GROUP BY 1), w AS (SELECT entry, count(*) AS c, min(record) AS one, max(share) AS top FROM s WHERE share >= 0.5 GROUP BY 1)
+    SELECT item_id AS entry, coalesce(num.r, CASE WHEN c = 1 AND top >= 0.7 THEN one END) AS record, CASE WHEN num.r IS NOT NULL THEN 'number' WHEN c = 1 AND top >= 0.7 THEN 'wording' END AS how FROM benchmark LEFT JOIN num ON num.entry = item_id LEFT JOIN w ON w.entry = item_id""")
 def join_number_guard(spark, sf):
-    p = table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.col("page_id"), "url")
-    c = table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.count("*").alias("n"), F.min("turn").alias("one"))
-    out = table(spark, sf, "documents").select("doc_id").join(p, "doc_id", "left").join(c, "doc_id", "left")
-    return out.select("doc_id", F.when(F.col("page_id").isNotNull() & F.contains("url", F.lit("1")), F.col("page_id")).when(F.col("n") == 1, F.col("one")).alias("linked"))
+    """Passages and the documents that have their number, if the wording shares a quarter; else the only one of that wording."""
+    b, d = (M.gram_table(table(spark, sf, t), k, "text", 3) for t, k in (("benchmark", "item_id"), ("documents", "doc_id")))
+    shares = graph.checkpointed(M.shared_grams(b, M.within(d, b)).join(M.sizes(b, "l"), "l").select(F.col("l").alias("entry"), F.col("r").alias("record"), (F.col("votes") / F.col("n_l")).alias("share")))
+    entries = table(spark, sf, "benchmark").select(F.col("item_id").alias("entry"))
+    return A.number_guard(entries, shares.where(F.col("record") % 40 == F.col("entry")), shares.where("share >= 0.5"))
 
 
 # ---- aggregates
@@ -213,10 +255,11 @@ def a14_round_robin(spark, sf):
     return ranked.select("doc_id", "source", "r", year.alias("year")).orderBy("r", "year")
 
 
-@query("SELECT c_custkey, row_number() OVER (ORDER BY coalesce(c_nationkey, 9999), c_acctbal DESC, c_custkey) AS place FROM customer ORDER BY 2 LIMIT 100")
+@query("SELECT c_custkey, row_number() OVER (ORDER BY coalesce(d, 9999), c_acctbal DESC, c_custkey) AS place FROM (SELECT *, CASE WHEN c_nationkey % 5 > 0 THEN c_nationkey END AS d FROM customer)")
 def a15_death_order(spark, sf):
-    top = table(spark, sf, "customer").orderBy(F.coalesce("c_nationkey", F.lit(9999)), F.desc("c_acctbal"), "c_custkey").limit(100)
-    return top.select("c_custkey", F.row_number().over(Window.orderBy(F.coalesce("c_nationkey", F.lit(9999)), F.desc("c_acctbal"), "c_custkey")).alias("place"))
+    """The place of every customer in the order by year, unknown ones last, then by score."""
+    c = table(spark, sf, "customer").withColumn("d", F.when(F.col("c_nationkey") % 5 > 0, F.col("c_nationkey")))
+    return S.placed(c, [F.coalesce("d", F.lit(9999)), F.desc("c_acctbal"), F.col("c_custkey")], "place").select("c_custkey", "place")
 
 
 @query("SELECT source, array_to_string(list(doc_id ORDER BY n_chars DESC, doc_id)[1:5], ',') AS top_five FROM documents GROUP BY source")
@@ -237,42 +280,68 @@ def a18_set_operations(spark, sf):
     return d.intersect(p).select(F.lit("common").alias("kind"), "id").union(d.exceptAll(p).select(F.lit("lost"), "id"))
 
 
-@query(f"SELECT form, count(*) AS n, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM (SELECT doc_id, unnest({tok_sql()}) AS form FROM documents) WHERE form IN ('idiot', 'clown', 'license', 'rights', 'public', 'reserved') GROUP BY form")
+FORMS = {"License": ["license", "licensed", "lícense"], "Insult": ["idiot", "moron"], "None": ["xyzzy"]}
+
+
+@query(f"""WITH d AS (SELECT doc_id, {tok_sql()} AS t FROM documents), f AS ({" UNION ALL ".join(f"SELECT '{n}' AS name, {sorted({LATIN.norm(x) for x in fs})} AS forms" for n, fs in FORMS.items())}) SELECT name, count(doc_id) AS docs, coalesce(sum(len(list_filter(t, lambda w: list_contains(forms, w)))), 0) AS n, min(doc_id) AS first_doc FROM f LEFT JOIN d ON list_has_any(t, forms) GROUP BY name""")
 def a19_name_forms(spark, sf):
-    t = table(spark, sf, "documents").select("doc_id", F.explode(T.tokens("text")).alias("form")).where(F.col("form").isin("idiot", "clown", "license", "rights", "public", "reserved"))
-    return t.groupBy("form").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"), F.min("doc_id").alias("first_doc"))
+    """A table of names: for each the records that have one of its forms, how often, and the first one."""
+    return S.name_table(table(spark, sf, "documents"), FORMS, "doc_id", "text")
 
 
 # ---- segmentation
 
 
-@query("WITH u AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS unit FROM conversations) SELECT conv_id, unit, count(*) AS parts, md5(string_agg(text, ' ' ORDER BY turn)) AS md5 FROM u GROUP BY 1, 2")
+@query("""WITH f AS (SELECT *, CASE WHEN turn = 0 THEN 'heading' WHEN role = 'user' THEN 'start' WHEN role = 'assistant' THEN 'sub' ELSE 'more' END AS k FROM conversations), u AS (SELECT *, sum(CASE WHEN k IN ('start', 'heading') THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS grp, sum(CASE WHEN k = 'start' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS num FROM f),
+    s AS (SELECT *, sum(CASE WHEN k = 'sub' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, grp ORDER BY turn) AS sub FROM u), o AS (SELECT *, max(CASE WHEN k = 'heading' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, grp) = 1 AS intro FROM s WHERE true)
+    SELECT conv_id, CASE WHEN intro THEN 'intro.' || sub WHEN sub > 0 THEN num || '.' || sub ELSE CAST(num AS VARCHAR) END AS number, count(*) AS parts, md5(string_agg(coalesce(text, ''), ' ' ORDER BY turn)) AS md5 FROM o WHERE k <> 'heading' AND NOT (intro AND sub = 0) GROUP BY 1, 2""")
 def u1_unit_grouping(spark, sf):
-    u = G.islands(table(spark, sf, "conversations"), "conv_id", "turn", F.col("role") == "user")
-    return G.gathered(u, ["conv_id", "unit"], "turn", "text").select("conv_id", "unit", "parts", F.md5(F.col("text").cast("binary")).alias("md5"))
+    """Records grouped to units: headings close one, starts and further versions of it open one, others go on."""
+    c = table(spark, sf, "conversations")
+    first = F.col("turn") == 0
+    kind = F.when(first, "heading").when(F.col("role") == "user", "start").when(F.col("role") == "assistant", "sub").otherwise("more")
+    out = G.numbered_units(c, "conv_id", "turn", kind, "text")
+    return out.select("conv_id", "number", "parts", F.md5(F.col("text").cast("binary")).alias("md5"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN r = 1 THEN CAST(l_suppkey AS VARCHAR) ELSE l_suppkey || '#' || r END AS number_id FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_linenumber) AS r FROM lineitem)")
+@query("""WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN r = 1 THEN CAST(l_suppkey % 3 AS VARCHAR) ELSE l_suppkey % 3 || '#' || r END AS number_id FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 3 ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM lineitem)) SELECT l_orderkey, number_id, count(*) AS n FROM n GROUP BY 1, 2""")
 def u2_duplicate_numbers(spark, sf):
-    return G.suffixed(table(spark, sf, "lineitem"), "l_orderkey", "l_suppkey", "l_linenumber").select("l_orderkey", "l_linenumber", "number_id")
+    lines = table(spark, sf, "lineitem").withColumns({"number": F.col("l_suppkey") % 3, "at": F.struct("l_linenumber", "l_partkey", "l_suppkey")})
+    return G.suffixed(lines, "l_orderkey", "number", "at").groupBy("l_orderkey", "number_id").agg(F.count("*").alias("n"))
 
 
-@query("SELECT doc_id, coalesce(p.page_id, 100000000 + d.doc_id) AS id, p.page_id IS NOT NULL AS kept_id FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id")
+@query("""WITH h AS (SELECT source, doc_id, starts_with(coalesce(text, ''), 'A') AS note, starts_with(coalesce(text, ''), 'T') AS head, coalesce(text, '') AS t FROM documents), u AS (SELECT *, sum(CASE WHEN head THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY doc_id) AS unit FROM h), c AS (SELECT *, coalesce(sum(CASE WHEN note THEN 1 ELSE 0 END) OVER (PARTITION BY source, unit ORDER BY doc_id), 0) AS notes FROM u WHERE unit > 0),
+    k AS (SELECT source, unit, count(*) AS parts, substr(string_agg(t, ' ' ORDER BY doc_id), 1, 40) AS head, min(doc_id) AS first FROM c WHERE notes = 0 GROUP BY 1, 2) SELECT source, first, parts FROM (SELECT *, row_number() OVER (PARTITION BY source, head ORDER BY first) AS r FROM k) WHERE r = 1""")
+def u2_closed_units(spark, sf):
+    """Units that a heading opens and a footnote closes; one printed twice (by its first forty characters) counts once."""
+    t = T.text("text")
+    return G.closed_units(table(spark, sf, "documents"), "source", "doc_id", "text", t.startswith("T"), t.startswith("A")).select("source", "first", "parts")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 > 0 THEN 'old' || o_orderkey ELSE 'p' || o_custkey || ':' || sum(CASE WHEN o_orderkey % 4 > 0 THEN 0 ELSE 1 END) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) END AS id, o_orderkey % 4 > 0 AS kept_id FROM orders")
 def u3_rebuild_ids(spark, sf):
-    p = table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), "page_id")
-    return table(spark, sf, "documents").select("doc_id").join(p, "doc_id", "left").select("doc_id", F.coalesce("page_id", 100000000 + F.col("doc_id")).alias("id"), F.col("page_id").isNotNull().alias("kept_id"))
+    """Units that were there keep their id, new ones get one; no old id may be lost."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    old = o.where("o_orderkey % 4 > 0").select(F.concat(F.lit("old"), F.col("o_orderkey").cast("string")).alias("id"), "o_orderkey")
+    return A.rebuilt_ids(o, old, "o_orderkey", [F.col("o_orderkey")], "o_custkey", "p").select("o_orderkey", "id", "kept_id")
 
 
-@query("WITH c AS (SELECT *, coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM conversations) SELECT conv_id, count(*) AS parts, sum(length(text)) AS chars FROM c WHERE before < 900 GROUP BY conv_id")
+@query("""WITH f AS (SELECT conv_id, turn, text, role, CASE WHEN regexp_matches(text, '^[A-H]') THEN 'a' || substr(text, 1, 1) WHEN regexp_matches(text, '^[I-R]') THEN 'b' || substr(text, 1, 1) END AS num FROM (SELECT *, coalesce(text, '') AS t FROM conversations)), u AS (SELECT *, sum(CASE WHEN num IS NOT NULL OR role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS unit FROM f),
+    b AS (SELECT *, coalesce(sum(length(text)) OVER (PARTITION BY conv_id, unit ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM u WHERE unit > 0 AND role <> 'system') SELECT conv_id, unit, arg_min(num, turn) AS number, count(*) AS parts, md5(string_agg(text, ' ' ORDER BY turn)) AS md5 FROM b WHERE before < 900 GROUP BY 1, 2 HAVING arg_min(num, turn) IS NOT NULL""")
 def u4_cutoff(spark, sf):
-    kept = G.until(table(spark, sf, "conversations"), ["conv_id"], "turn", F.length("text"), 900)
-    return kept.groupBy("conv_id").agg(F.count("*").alias("parts"), F.sum(F.length("text")).alias("chars"))
+    """Entries that open in one of two formats; their lines until 900 characters."""
+    c = table(spark, sf, "conversations").withColumn("said", F.concat(F.when(F.col("text").rlike("^[A-H]"), "a").when(F.col("text").rlike("^[I-R]"), "b").otherwise(""), "text"))
+    out = V.entries(c, "conv_id", "turn", "said", ["^(a[A-H])", "^(b[I-R])"], F.col("role") == "system")
+    return out.select("conv_id", "unit", "number", "parts", F.md5(F.regexp_replace("text", "(^| )[ab]([A-R])", "$1$2").cast("binary")).alias("md5"))
 
 
-@query("SELECT l_orderkey, l_partkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
-def u7_weak_links(spark, sf):
-    graded = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return table(spark, sf, "lineitem").where("l_returnflag = 'R'").join(graded, "l_orderkey", "left_anti").select("l_orderkey", "l_partkey", "l_linenumber")
+CHAIN_SQL = "l AS (SELECT l_orderkey AS chain, p_name || CASE WHEN l_linenumber % 2 = 0 THEN ' of ' || l_suppkey ELSE '' END AS name, CASE WHEN l_returnflag <> 'N' THEN l_partkey END AS entry FROM lineitem JOIN part ON p_partkey = l_partkey)"
+
+
+def _linked(spark, sf):
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
+    name = F.concat("p_name", F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit(" of "), F.col("l_suppkey").cast("string"))).otherwise(""))
+    return lines.select(F.col("l_orderkey").alias("chain"), F.col("l_linenumber").alias("at"), name.alias("name"), F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("entry"))
 
 
 # ---- collation
@@ -291,8 +360,8 @@ def w1_witness_index(spark, sf):
 @query(f"""WITH d AS {_gram_pos('documents', 'doc_id', 5)}, b AS {_gram_pos('benchmark', 'item_id', 5)}, few AS (SELECT key, gram FROM d GROUP BY 1, 2 HAVING count(*) <= 4), o AS (SELECT d.key AS w, b.key AS r, d.pos - b.pos AS d FROM d JOIN few USING (key, gram) JOIN b ON b.gram = d.gram),
     v AS (SELECT w, r, CAST(floor(d / 25.0) AS BIGINT) AS bucket, count(*) AS votes, list(d ORDER BY d) AS ds FROM o GROUP BY 1, 2, 3) SELECT w, r, bucket, votes, ds[len(ds) // 2 + 1] AS "offset" FROM (SELECT *, row_number() OVER (PARTITION BY w, r ORDER BY votes DESC, bucket) AS k FROM v) WHERE k = 1 AND votes >= 2""")
 def w2_offset_votes(spark, sf):
-    w = C.gram_positions(table(spark, sf, "documents"), "doc_id", "text", 5, 4)
-    return C.offset_votes(w, C.gram_positions(table(spark, sf, "benchmark"), "item_id", "text", 5))
+    record = C.gram_positions(table(spark, sf, "benchmark"), "item_id", "text", 5)
+    return C.offset_votes(C.gram_positions(table(spark, sf, "documents"), "doc_id", "text", 5, 4, wanted=record), record)
 
 
 @query(f"WITH q AS {QUALITY} SELECT q.doc_id, CASE WHEN d.n_chars < 90 THEN NULL WHEN l.quality = 1 THEN 'verified' WHEN l.doc_id IS NULL THEN 'no_witness' WHEN q.q IS NULL THEN 'unmatched' WHEN q.q >= 85 THEN 'corroborated' WHEN q.q >= 60 THEN 'partial' ELSE 'divergent' END AS level FROM q JOIN documents d USING (doc_id) LEFT JOIN labels l USING (doc_id)")
@@ -308,11 +377,16 @@ def w6_lexicon(spark, sf):
     return S.vocabulary(S.postings(table(spark, sf, "documents")).join(typed, "uid", "left_semi")).where("freq >= 2")
 
 
-@query(f"WITH lex AS (SELECT term FROM {posts_sql()} GROUP BY term HAVING count(*) >= 5) SELECT d.source, count(*) AS words, count(*) FILTER (WHERE l.term IS NULL) AS unknown FROM (SELECT source, unnest({tok_sql()}) AS term FROM documents) d LEFT JOIN lex l USING (term) GROUP BY d.source")
+@query(f"""WITH lex AS (SELECT term FROM {posts_sql()} GROUP BY term HAVING count(*) >= 5), w AS (SELECT DISTINCT uid AS key, term FROM {posts_sql()}), odd AS (SELECT * FROM w WHERE term NOT IN (SELECT term FROM lex)), p AS (SELECT a.doc_id AS record, b.doc_id AS text, a.lang AS work, b.source AS witness FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1),
+    n AS (SELECT work, witness, count(*) AS unknown, count(h.term) AS reproduced FROM p JOIN odd ON odd.key = p.record LEFT JOIN w h ON h.key = p.text AND h.term = odd.term GROUP BY 1, 2)
+    SELECT q.work, q.witness, coalesce(unknown, 0) AS unknown, coalesce(reproduced, 0) AS reproduced, coalesce(unknown, 0) = 0 OR 100 * reproduced < 40 * unknown OR q.work = 'es' AS used FROM (SELECT DISTINCT work, witness FROM p) q LEFT JOIN n USING (work, witness)""")
 def w8_independence(spark, sf):
-    lexicon = S.vocabulary(S.postings(table(spark, sf, "documents"))).where("freq >= 5").select("term", F.lit(1).alias("known"))
-    d = table(spark, sf, "documents").select("source", F.explode(T.tokens("text")).alias("term")).groupBy("source", "term").agg(F.count("*").alias("n"))
-    return d.join(lexicon, "term", "left").groupBy("source").agg(F.sum("n").alias("words"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("unknown"))
+    """How many of a record's unknown words the witness at the next place has too, by language and source."""
+    lexicon = S.vocabulary(S.postings(table(spark, sf, "documents"))).where("freq >= 5").select("term")
+    words = S.postings(table(spark, sf, "documents")).select(F.col("uid").alias("key"), "term").distinct()
+    d = table(spark, sf, "documents")
+    pairs = d.select(F.col("doc_id").alias("record"), F.col("lang").alias("work"), (F.col("doc_id") + 1).alias("text")).join(d.select(F.col("doc_id").alias("text"), F.col("source").alias("witness")), "text")
+    return C.independence(words, words, pairs, lexicon, exempt=F.col("work") == "es")
 
 
 # ---- ledger and validation
@@ -330,12 +404,6 @@ def l2_violations(spark, sf):
     })
 
 
-@query("SELECT l_suppkey, s_name, count(*) AS cites FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2")
-def l3_resolve_cites(spark, sf):
-    cites = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("cites"))
-    return cites.join(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
-
-
 @query("WITH s AS (SELECT DISTINCT role AS v, conv_id AS t, CASE WHEN length(text) % 3 = 0 THEN 'affirms' WHEN length(text) % 3 = 1 THEN 'rejects' ELSE 'nuances' END AS s FROM conversations), p AS (SELECT x.v AS a, y.v AS b, x.s AS sa, y.s AS sb FROM s x JOIN s y ON x.t = y.t AND x.v < y.v) SELECT a, b, count(*) FILTER (WHERE sa = sb) AS agree, count(*) FILTER (WHERE sa <> sb AND sa <> 'nuances' AND sb <> 'nuances') AS differ, count(*) FILTER (WHERE sa <> sb AND (sa = 'nuances' OR sb = 'nuances')) AS partly FROM p GROUP BY a, b")
 def l4_agreement_matrix(spark, sf):
     n = F.length("text") % 3
@@ -356,9 +424,31 @@ def l5_status_pivot(spark, sf):
     return out.select("c_mktsegment", F.col("F").alias("f"), F.col("O").alias("o"), F.col("P").alias("p"))
 
 
-@query(f"WITH b AS {gram_sql('benchmark', 'item_id', 4)}, d AS {gram_sql('documents', 'doc_id', 4)}, h AS (SELECT b.key AS item_id, d.key AS doc_id, count(*) AS n FROM b JOIN d USING (gram) GROUP BY 1, 2) SELECT item_id, doc_id, source, toxic, rank FROM (SELECT h.*, source, toxic, row_number() OVER (PARTITION BY item_id ORDER BY n DESC, doc_id) AS rank FROM h JOIN documents USING (doc_id) LEFT JOIN labels USING (doc_id)) WHERE rank <= 5")
+@query(f"""WITH sec AS (SELECT p_partkey AS section, p_partkey * 75 AS first_id, p_partkey * 75 + 74 AS last_id FROM part), st AS (SELECT s_suppkey AS story, s_name, s_suppkey * 20 AS a, s_suppkey * 20 + 25 AS b FROM supplier), v AS (SELECT l_orderkey % 40 AS passage, l_partkey AS record FROM lineitem WHERE l_linenumber = 7)
+    SELECT o_orderkey AS couplet, section, story, s_name, v.record, round(max(c_acctbal), 2) AS reading FROM orders JOIN sec ON o_orderkey BETWEEN first_id AND last_id JOIN st ON section BETWEEN a AND b JOIN v ON v.passage = story % 40 AND o_orderstatus = 'F' LEFT JOIN customer ON c_custkey = v.record GROUP BY 1, 2, 3, 4, 5""")
 def l6_story_lookup(spark, sf):
-    b, d = (M.gram_table(table(spark, sf, t), k, "text", 4) for t, k in (("benchmark", "item_id"), ("documents", "doc_id")))
-    hits = M.shared_grams(b, d).select(F.col("l").alias("item_id"), F.col("r").alias("doc_id"), "votes")
-    out = hits.join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id").join(table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id", "left")
-    return S.top_per(out, ["item_id"], [F.desc("votes"), F.col("doc_id")], 5).select("item_id", "doc_id", "source", "toxic", "rank")
+    """From couplets to their section, its stories, the passages of each and what reads them."""
+    couplets = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("couplet"))
+    k = F.col("p_partkey")
+    sections = table(spark, sf, "part").select(k.alias("section"), (k * 75).alias("first_id"), (k * 75 + 74).alias("last_id"))
+    stories = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("story"), "s_name", (20 * F.col("s_suppkey")).alias("a"), (20 * F.col("s_suppkey") + 25).alias("b"))
+    passages = table(spark, sf, "lineitem").where("l_linenumber = 7").select((F.col("l_orderkey") % 40).alias("passage"), F.col("l_partkey").alias("record"))
+    readings = table(spark, sf, "customer").groupBy(F.col("c_custkey").alias("record")).agg(F.round(F.max("c_acctbal"), 2).alias("reading"))
+    found = A.interval_join(A.interval_join(couplets, sections, "couplet", "first_id", "last_id"), stories, "section", "a", "b")
+    out = found.join(passages, F.col("passage") == F.col("story") % 40).join(readings, "record", "left")
+    return out.select("couplet", "section", "story", "s_name", "record", "reading").distinct()
+
+
+@query(f"WITH {CHAIN_SQL}, r AS (SELECT chain, name, entry, p_size % 13 AS rank FROM l JOIN part ON p_partkey = entry) SELECT chain, name, entry, rank FROM r WHERE rank >= 8 AND len(string_split(name, ' ')) >= 3 AND chain NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def u7_weak_links(spark, sf):
+    """Weak entries that names of three words and more are linked to, in chains without a verdict."""
+    ranks = table(spark, sf, "part").select(F.col("p_partkey").alias("entry"), (F.col("p_size") % 13).alias("rank"))
+    graded = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("chain"))
+    return N.weak_narrators(_linked(spark, sf), ranks, graded).select("chain", "name", "entry", "rank")
+
+
+@query(f"WITH {CHAIN_SQL} SELECT chain, count(*) AS names, count(p_partkey) AS linked, max(CASE WHEN p_size % 13 > 0 THEN p_size % 13 END) AS weakest FROM l LEFT JOIN part ON p_partkey = entry AND p_size % 13 > 0 GROUP BY chain")
+def a11_weakest_chain(spark, sf):
+    """The worst rank among the linked names of each chain."""
+    ranks = table(spark, sf, "part").where("p_size % 13 > 0").select(F.col("p_partkey").alias("entry"), (F.col("p_size") % 13).alias("rank"))
+    return N.weakest_links(_linked(spark, sf), ranks)

@@ -141,7 +141,7 @@ def marked_verdicts(lines: DataFrame, key: str, order: str, text: str, number: s
     df = df.withColumn("after", F.sum(F.when(F.col("since") > 0, 1).otherwise(0)).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     joined = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(c, F.struct(order, text)))), lambda x: x[text]), " ")
     out = df.groupBy(key, "unit").agg(F.min_by(F.regexp_extract(t, number, 1), order).alias("number"), joined(F.col("since") == 0).alias("text"), joined(F.col("after").between(1, more + 1)).alias("verdict"))
-    return out.select(key, "number", "text", "verdict")
+    return out.select(key, "unit", "number", "text", "verdict")
 
 
 def imported(spark: SparkSession, catalog: list[tuple[str, str, str, str]]) -> DataFrame:

@@ -14,17 +14,30 @@ def _stream(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("pathGlobFilter", name).parquet(folder) if _single_file(spark, path) else reader.parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place))
+
+
 def _single_file(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile())
 
 
 def ingest_files(spark: SparkSession, source: str, target: str, key: str) -> None:
-    """Reads all files that are there now; each batch is written to a folder of its own, so that a batch that runs twice
-    overwrites itself and no row is added twice. Rows repeated in a batch are dropped by key."""
+    """Reads all files that are there now; a key is added once, however often it comes.
+
+    Each batch is written to a folder of its own, without the keys that earlier batches' folders have and with one row of
+    each key that it brings itself. So a batch that runs twice overwrites itself with the same rows.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.dropDuplicates([key]).write.mode("overwrite").parquet(f"{target}/table/batch={batch_id}")
+        here = batch.sparkSession
+        fresh = batch.dropDuplicates([key])
+        if batch_id and _exists(here, f"{target}/table"):
+            known = here.read.parquet(f"{target}/table").where(F.col("batch") < batch_id).select(F.col(key).alias("k_"))
+            fresh = fresh.join(known, F.col(key) == F.col("k_"), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{target}/table/batch={batch_id}")
 
     q = _stream(spark, source).writeStream.foreachBatch(sink).option("checkpointLocation", f"{target}/state").trigger(availableNow=True).start()
     q.awaitTermination()
