@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K, text as T
-from ..operators import collate as C, graph, match as M, passages as P, search as S
+from ..operators import collate as C, graph, ledger, match as M, passages as P, search as S
 from ..sources import readers, sinks
 from ._register import clean_sql, posts_sql, query, table
 from .match_queries import LOOSE
@@ -391,46 +391,74 @@ def f26_name_before(spark, sf):
 
 
 CASES = """
-| id | level | check | input | expect |
-|---|---|---|---|---|
-| D1 | must | rows | documents | n > 0 |
-| D2 | must | distinct | documents.doc_id | share > 99% |
-| D3 | must | orphans | labels.doc_id documents.doc_id | n = 0 |
-| D4 | must | range | documents.n_chars | least >= 0 |
-| L1 | must | shares | labels.quality | ones > 50%, ones < 100% |
-| O1 | must | orphans | lineitem.l_orderkey orders.o_orderkey | n = 0 |
-| E1 | goal | distinct | events.user_id | n > 10 |
+| id | level | check | input | where | expect |
+|---|---|---|---|---|---|
+| A1 | must | authenticate | P0 | | hits >= 0, cites |
+| A2 | must | authenticate | xyzzy plugh qwerty | | not_in_layer, hits = 0 |
+| A3 | must | same | P1 // V1 | | first >= 0 |
+| S1 | must | search | all RIGHTS reserved | all | records > 0, works > 0 |
+| S2 | goal | search | Public License | src1,src2 | each_folder |
+| V1 | must | verse | 2:3 | | works > 0, oldest_first |
+| C1 | must | concept | insult | | passages > 0, oldest_first |
+| H1 | must | caliph | BUILDING | | hadith > 0 |
+| R1 | must | cite | urn:lib:SRC.book:0 | | resolved |
+| R2 | goal | cite | urn:lib:none.book:1 | | resolved |
+| T1 | must | story | 150 | | heading, passages >= 0 |
+| L1 | must | sijill | type:question | | entries > 0 |
+| L2 | goal | sijill | validator | | problems = 0 |
+| M1 | must | metric | share_labelled | | value > 1%, value < 100% |
+| M2 | must | metric | orphans | | value = 0 |
+| X1 | must | time | authenticate_per_saying | | seconds < 600s |
+| X2 | must | crash | ??? | authenticate | ran |
 """
 
 
 @query()
 def t1_acceptance(spark, sf):
-    """The cases of a table run over the tables; one row for each."""
-    from ..operators import acceptance as A
-
-    def column(spec):
-        name, c = spec.split(".")
-        return table(spark, sf, name).select(c), c
-
-    def distinct(case):
-        df, c = column(case.input)
-        r = df.agg(F.countDistinct(c).alias("d"), F.count("*").alias("n")).first()
-        return {"n": r["d"], "share": r["d"] / max(1, r["n"])}
-
-    def orphans(case):
-        (a, x), (b, y) = map(column, case.input.split())
-        return {"n": a.join(b.withColumnRenamed(y, x), x, "left_anti").count()}
-
-    def least(case):
-        df, c = column(case.input)
-        return {"least": df.agg(F.min(c)).first()[0]}
-
-    def shares(case):
-        df, c = column(case.input)
-        return {"ones": df.agg(F.avg((F.col(c) == 1).cast("double"))).first()[0]}
-
-    checks = {"rows": lambda case: {"n": table(spark, sf, case.input).count()}, "distinct": distinct, "orphans": orphans, "range": least, "shares": shares}
-    results = A.run(A.parse_table(CASES), checks)
+    """The cases of a table, of all twelve kinds, run over the tables; one row for each."""
+    from ..operators import acceptance as A, cite, passages as P
+    from .search_queries import _records, library
+    from .verdict_queries import _ledger
+
+    t, d, b = library(spark, sf), table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    p0, p1 = (r["text"].replace("|", " ").replace("\n", " ") for r in b.orderBy("item_id").limit(2).collect())
+    marked = "".join(c + "\u0301" if c in "aeiou" else c for c in p1).upper()
+    source = d.where("doc_id = 0").first()["source"]
+    cases = A.parse_table(CASES.replace("P0", p0).replace("P1", p1).replace("V1 ", marked + " ", 1).replace("SRC", source))
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("uid"), F.when(F.col("toxic") == 1, "modern").otherwise("classical").alias("layer"), F.when(F.col("quality") == 1, "sound").otherwise("weak").alias("grade"))
+
+    def authenticate(texts):
+        q = spark.createDataFrame(list(enumerate(texts)), "q int, text string")
+        hits = M.loose_matches(M.query_model(q, "q", "text"), d)
+        return hits.join(d.select(F.col("doc_id").alias("uid"), F.col("source").alias("collection")), "uid").join(labels, "uid", "left").withColumn("critic", F.concat(F.lit("critic of "), "layer"))
+
+    def search(phrase, folders):
+        hits = S.phrase_scan(d.select("doc_id", "source", "text"), {"p": S.bridged_pattern(phrase, {})})
+        out = hits.select(F.col("source").alias("folder"), F.col("source").alias("work"), F.col("doc_id").alias("uid"))
+        return out.where(F.col("folder").isin(*folders)) if folders else out
+
+    def verse(key):
+        sura, aya = map(int, key.split(":"))
+        index = S.members(t["verse_refs"], S.QuerySpec(verse=(sura, aya))).join(t["units"].select("uid", "work"), "uid")
+        return S.lookup(index, t["work_meta"], per_work=1)
+
+    def concept(key):
+        hits = P.concept_hits(d, [P.Concept(key, ("idiot", "clown", "moron"))], "doc_id", "text")
+        return P.concept_lookup(hits, d, t["work_meta"], key, "source", "doc_id", 1).withColumnRenamed("record", "uid")
+
+    def story(key):
+        sections = table(spark, sf, "part").where(F.lit(int(key)).between(75 * F.col("p_partkey"), 75 * F.col("p_partkey") + 74))
+        return sections.select(F.col("p_name").alias("heading"), F.col("p_brand").alias("story"), F.col("p_type").alias("passage"), F.lit(None).cast("string").alias("reading"))
+
+    entries = _ledger(spark, sf)
+    offences = ledger.validate(entries, spark.createDataFrame([("question",), ("inference",), ("reading",)], "type string"), spark.createDataFrame([("rests_on",), ("part_of",), ("answers",)], "rel string"))
+    records = _records(spark, sf).drop("doc_id")
+    metrics = {
+        "share_labelled": lambda: table(spark, sf, "labels").count() / max(1, d.count()),
+        "orphans": lambda: float(table(spark, sf, "lineitem").select("l_orderkey").join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_anti").count()),
+    }
+    lib = A.Library(authenticate, search, verse, concept, lambda i, x: cite.cite(records, spark.createDataFrame([(i, x)], "id string, phrase string")), story, t["hadith"], entries, offences, metrics)
+    results = A.run(cases, A.checks(lib, cases))
     return spark.createDataFrame([(r["id"], r["level"], r["passed"], r["why"]) for r in results], "id string, level string, passed boolean, why string")
 
 

@@ -24,6 +24,60 @@ def test_vowelled_and_bare_texts_have_the_same_stems(spark):
     assert one(spark, bare, T.stems("t", ARABIC)) == one(spark, vowelled, T.stems("t", ARABIC)) == one(spark, "كتاب بالحق كنز", T.stems("t", ARABIC))
 
 
+def test_tokens_follow_the_profile(spark):
+    assert one(spark, "كَتَبَ الْوَلَدُ ٣", T.tokens("t", ARABIC)) == one(spark, "كتب الولد 3", T.tokens("t", ARABIC)) == ["كتب", "الولد", "3"]
+    assert one(spark, "L'Été 12a—b", T.tokens("t")) == ["l", "ete", "12a", "b"]
+
+
+def test_a_query_is_normalised_like_a_text(spark):
+    for p in (ARABIC, PERSIAN, LATIN):
+        for t in ("Café ÑANDÚ l'été 12a_b", "إِنَّمَا الأَعْمَالُ", "مَدْرَسَةٌ ١٢ ۳۴ کتاب", "", "a\u0301\u00ad-B c\u200cd"):
+            row = spark.createDataFrame([(t,)], "t string").select(T.norm("t", p).alias("n"), T.tokens("t", p).alias("k"), T.clean("t", p).alias("c")).first()
+            assert (p.norm(t), p.tokens(t), p.clean(t)) == (row["n"], row["k"], row["c"])
+
+
+def test_splits(spark):
+    tail = lambda t: tuple(one(spark, t, T.split_tail("t", "”", "reported|rated")))
+    assert tail("he said “this” reported by him") == ("he said “this”", "reported by him") and tail("reported “this” end") == ("", "reported “this” end")
+    assert tail("none") == ("none", "") and tail(None) == ("", "")
+    chain = lambda t: tuple(one(spark, t, T.split_chain("t", "*", "the Prophet", "said:", 12)))
+    assert chain("a from b * text the Prophet") == ("a from b", "text the Prophet", "marker") and chain("a the Prophet he said: text") == ("a the Prophet he said:", "text", "prophet_mention")
+    assert chain("a the Prophet, who then went and said: text")[1] == ", who then went and said: text" and chain("text") == ("", "text", "none")
+    assert one(spark, "A one B two A three", T.items("t", "A", "B")) == ["A one", "A three"] and one(spark, "", T.items("t", "A", "B")) == []
+
+
+def test_named_collections(spark):
+    names = [("the Four", "four", ["a", "b"]), ("B", "[Bb]ee", ["b"]), ("C", "cee", ["c"])]
+    f = lambda t: tuple(one(spark, t, T.named("t", names, "with a chain")))
+    assert f("the four and bee, with a chain of cee") == (["the Four", "B"], ["a", "b"]) and f("with a chain of cee") == (["C"], ["c"]) and f("none") == ([], [])
+
+
+def test_matches_are_where_they_stand(spark):
+    assert [tuple(m) for m in one(spark, "ab xab ab", T.matches(F.col("t"), "ab"))] == [(0, 2, "ab"), (4, 6, "ab"), (7, 9, "ab")]
+    assert one(spark, "none", T.matches(F.col("t"), "ab")) == [] and [tuple(m) for m in one(spark, "aaa", T.matches(F.col("t"), "a"))] == [(0, 1, "a"), (1, 2, "a"), (2, 3, "a")]
+
+
+def test_pages_and_cues(spark):
+    got = one(spark, "a PageV01P002 b PageEndV02P009 c", T.exact_pages("t", F.lit(1), F.lit(1)))
+    assert [(s["vol"], s["page"], s["text"].strip()) for s in got] == [(1, 2, "a"), (1, 3, "b"), (2, 10, "c")]
+    rules = [("weak", "weak|poor"), ("sound", "sound")]
+    assert [one(spark, t, T.cues("t", rules, "^see ")) for t in ("sound, not poor", "see there", "nothing", "see sound")] == ["sound,weak", "cross_reference", "", "sound"]
+    near = one(spark, "x weak word one two sound poor", T.near_cues(T.tokens("t"), F.lit(3), F.lit(4), {"w": " (?:weak|poor)", "s": " good"}, before=2, after=5))
+    assert [(c["class"], c["words"]) for c in near] == [("w", ["poor", "weak"])]
+
+
+def test_json_and_numbers(spark):
+    j = '{"id": "u:1", "lang": "ar", "a": {"b": 5, "edition": "x"}, "t": "é"}'
+    assert one(spark, j, T.json_peek("t")) == "u:1" and one(spark, j, T.json_get("t", "a.b", "-")) == "5" and one(spark, j, T.json_get("t", "a.c", "-")) == "-"
+    assert one(spark, j, T.flat_json("t")) == "u:1 5 é" and one(spark, None, T.flat_json("t")) is None and one(spark, "{}", T.json_peek("t")) is None
+    assert one(spark, "1,5", T.decimal("t")) == 1.5 and one(spark, "x", T.decimal("t")) is None and one(spark, "abc def", T.entry_id("t")) == 2025106606 % 100000
+
+
+def test_chain_grade_overrides(spark):
+    f = T.verdict_class("t", [("weak", "weak")], [("sound", "sound")], "but", "support", "differ", "fair chain")
+    assert one(spark, "sound, by a fair chain", f) == "fair" and one(spark, "a fair chain", f) == "unclassified"
+
+
 def test_stem_keeps_three_letters(spark):
     assert one(spark, "unred bus cats", T.stems("t", LATIN)) == ["red", "bus", "cat"]
     assert one(spark, "ابن", T.stems("t", ARABIC)) == ["بن"]
