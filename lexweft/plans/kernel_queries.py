@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K, text as T
+from ..functions.profiles import ARABIC, PERSIAN
 from ..operators import collate as C, graph, ledger, match as M, passages as P, search as S
 from ..sources import readers, sinks
 from ._register import clean_sql, posts_sql, query, table
@@ -35,12 +36,16 @@ def s1_json_lines(spark, sf):
     return back.where("corrupt_record IS NULL").select("doc_id", "lang", "source", F.md5(F.col("text").cast("binary")).alias("md5"))
 
 
-@query("SELECT source, count(*) AS n FROM documents WHERE source IN ('src1', 'src2') GROUP BY source")
+@query("SELECT doc_id, source FROM documents WHERE source IN ('src1', 'src2', 'src12')")
 def s2_folder_scan(spark, sf):
-    """Documents by source folder; a folder filter prunes before any file is read."""
+    """Records by folder: some folders, and files whose names have a part; others aren't listed."""
     path = shared_path(spark, "folders")
-    table(spark, sf, "documents").write.partitionBy("source").parquet(path)
-    return spark.read.parquet(path).where(F.col("source").isin("src1", "src2")).groupBy("source").agg(F.count("*").alias("n"))
+    d = table(spark, sf, "documents")
+    d.select(F.concat(F.lit("a"), (F.col("doc_id") % 2).cast("string")).alias("part"), "source", F.to_json(F.struct("doc_id", "source")).alias("value")).write.partitionBy("source", "part").text(path)
+    schema = "doc_id long, source string"
+    back = spark.read.schema(schema).option("recursiveFileLookup", "true").json([f"{path}/source=src{k}" for k in (1, 2, 12)])
+    read = readers.json_lines(spark, [f"{path}/source=src{k}" for k in (1, 2, 12)], schema, glob="*.txt")
+    return back.join(read.where("corrupt_record IS NULL").select("doc_id"), "doc_id", "left_semi")
 
 
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -50,17 +55,36 @@ def s3_tab_separated(spark, sf):
     return readers.tab_separated(spark, path, "n_nationkey int, n_name string, n_regionkey int")
 
 
-@query("SELECT doc_id, leaf, length(substr(text, leaf * 1000 + 1, 1000)) AS n FROM (SELECT doc_id, text, unnest(range(0, (length(text) + 999) // 1000)) AS leaf FROM documents)")
+@query("SELECT doc_id, CAST(leaf AS INTEGER) AS leaf, CASE WHEN leaf % 2 = 0 THEN 'p' || (leaf + 1) END AS printed_page, md5(substr(text, leaf * 1000 + 1, 1000)) AS md5 FROM (SELECT doc_id, text, unnest(range(0, (length(text) + 999) // 1000)) AS leaf FROM documents WHERE length(text) > 0)")
 def s6_leaves(spark, sf):
-    spans = F.transform(F.sequence(F.lit(0), F.floor((F.length("text") + 999) / 1000).cast("int") - 1), lambda i: F.struct((i * 1000).alias("start"), (i * 1000 + 1000).alias("end")))
-    d = table(spark, sf, "documents").where(F.length("text") > 0).withColumn("spans", spans)
-    return readers.leaves(d, "doc_id", "text", "spans").select("doc_id", F.col("leaf").cast("long").alias("leaf"), F.length("text").cast("long").alias("n"))
+    """Texts cut by a page index, with the printed pages of every other leaf."""
+    n = F.sequence(F.lit(0), F.floor((F.length("text") + 999) / 1000).cast("int") - 1)
+    index = F.to_json(F.transform(n, lambda i: F.array(i * 1000, i * 1000 + 1000)))
+    printed = F.to_json(F.map_from_entries(F.transform(F.filter(n, lambda i: i % 2 == 0), lambda i: F.struct(i.cast("string").alias("k"), F.concat(F.lit("p"), (i + 1).cast("string")).alias("v")))))
+    d = table(spark, sf, "documents").where(F.length("text") > 0).withColumns({"index": index, "printed": printed})
+    return readers.indexed_leaves(d, "doc_id", "text", "index", "printed").select("doc_id", "leaf", "printed_page", F.md5(F.col("text").cast("binary")).alias("md5"))
 
 
-@query("""WITH c AS (SELECT *, lead(role) OVER w AS nxt, lag(role) OVER w AS prv FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) SELECT conv_id, turn, CASE WHEN role = 'user' AND nxt = 'assistant' THEN 'bayt' ELSE 'single_line' END AS unit_type FROM c WHERE NOT (role = 'assistant' AND coalesce(prv, '') = 'user')""")
+@query("""WITH p AS (SELECT *, CASE WHEN turn % 5 = 4 THEN 'comment' WHEN role = 'user' THEN CASE WHEN conv_id % 2 = 0 THEN 'right' ELSE 'center1' END WHEN role = 'assistant' THEN CASE WHEN conv_id % 2 = 0 THEN 'left' ELSE 'center2' END ELSE 'paragraph' END AS pos FROM conversations), c AS (SELECT *, lead(pos) OVER w AS nxt, lead(text) OVER w AS nt, lag(pos) OVER w AS prv FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+    k AS (SELECT *, CASE WHEN pos = 'right' AND nxt = 'left' THEN 'bayt' WHEN pos = 'center1' AND nxt = 'center2' THEN 'band' WHEN pos = 'paragraph' THEN 'paragraph' ELSE 'single_line' END AS unit_type FROM c WHERE pos <> 'comment' AND NOT (pos = 'left' AND coalesce(prv, '') = 'right') AND NOT (pos = 'center2' AND coalesce(prv, '') = 'center1'))
+    SELECT conv_id, turn, unit_type, unit_type = 'single_line' AS warning, md5(CASE WHEN unit_type IN ('bayt', 'band') THEN text || '/' || nt ELSE text END) AS md5 FROM k""")
 def s8_couplets(spark, sf):
-    v = table(spark, sf, "conversations").withColumn("pos", F.when(F.col("role") == "user", "right").when(F.col("role") == "assistant", "left").otherwise("other"))
-    return readers.couplets(v, "conv_id", "turn", "pos", "text").select("conv_id", "turn", "unit_type")
+    even = F.col("conv_id") % 2 == 0
+    pos = F.when(F.col("turn") % 5 == 4, "comment").when(F.col("role") == "user", F.when(even, "right").otherwise("center1")).when(F.col("role") == "assistant", F.when(even, "left").otherwise("center2")).otherwise("paragraph")
+    out = readers.couplets(table(spark, sf, "conversations").withColumn("pos", pos), "conv_id", "turn", "pos", "text")
+    return out.select("conv_id", "turn", "unit_type", "warning", F.md5(F.array_join("hemistichs", "/").cast("binary")).alias("md5"))
+
+
+@query("""WITH n AS (SELECT 'r' || r_regionkey AS id, NULL AS parent, r_regionkey AS o, r_name AS title FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, n_nationkey, n_name FROM nation UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey, s_suppkey, s_name FROM supplier)
+    SELECT s.id, r.title || '/' || n.title || '/' || s.title AS path, row_number() OVER (ORDER BY r.o, n.o, s.o) AS place FROM n s JOIN n n ON n.id = s.parent JOIN n r ON r.id = n.parent""")
+def s8_catalog_walk(spark, sf):
+    """Regions, nations and suppliers as a catalogue, walked depth first; the leaves in the order of the walk."""
+    r, n, s = (table(spark, sf, t) for t in ("region", "nation", "supplier"))
+    key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    nodes = r.select(key("r", "r_regionkey").alias("id"), F.lit(None).cast("string").alias("parent"), F.col("r_regionkey").cast("long").alias("o"), F.col("r_name").alias("title"))
+    nodes = nodes.union(n.select(key("n", "n_nationkey"), key("r", "n_regionkey"), F.col("n_nationkey").cast("long"), "n_name")).union(s.select(key("s", "s_suppkey"), key("n", "s_nationkey"), F.col("s_suppkey").cast("long"), "s_name"))
+    walk = readers.tree_walk(nodes, "id", "parent", "o", "title", 3).where(F.size("path") == 3)
+    return S.placed(walk, [F.col("place")], "at").select("id", F.array_join("path", "/").alias("path"), F.col("at").alias("place"))
 
 
 @query("SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE trim(line) <> ''")
@@ -142,13 +166,15 @@ def s9_anchored_numbers(spark, sf):
     return readers.numbered(lines, "l_orderkey", "at_", anchors, "at", "number").select("l_orderkey", "place", "printed")
 
 
-@query("SELECT conv_id AS sura, turn AS aya, md5(trim(replace(text, chr(10), ' '))) AS md5 FROM conversations")
+@query("SELECT conv_id AS sura, turn AS aya, md5(trim(replace(text, chr(10), ' '), ' ')) AS md5 FROM conversations")
 def s11_verse_lines(spark, sf):
-    """Turns written as `# s | a | text` lines with continuation lines, and parsed back."""
+    """Turns written as `# s | a | text` lines with continuation lines and an opening formula at most first verses, parsed back."""
     c = table(spark, sf, "conversations")
-    lines = c.select("conv_id", "turn", F.posexplode(F.split(F.concat_ws(" | ", F.concat(F.lit("# "), F.col("conv_id").cast("string")), F.col("turn").cast("string"), "text"), "\n")).alias("part", "value"))
+    opened = F.when((F.col("turn") == 1) & ~F.col("conv_id").isin(1, 9), F.concat(F.lit("In the name. "), "text")).otherwise(F.col("text"))
+    lines = c.select("conv_id", "turn", F.posexplode(F.split(F.concat_ws(" | ", F.concat(F.lit("# "), F.col("conv_id").cast("string")), F.col("turn").cast("string"), opened), "\n")).alias("part", "value"))
     lines = lines.select(F.col("conv_id").cast("string").alias("path"), F.struct("turn", "part").alias("line"), "value")
-    return readers.verse_lines(lines).select(F.col("sura").cast("long").alias("sura"), F.col("aya").cast("long").alias("aya"), F.md5(F.col("text").cast("binary")).alias("md5"))
+    verses = readers.counted(readers.verse_lines(lines, opening="In the name."), c.count())
+    return verses.select(F.col("sura").cast("long").alias("sura"), F.col("aya").cast("long").alias("aya"), F.md5(F.col("text").cast("binary")).alias("md5"))
 
 
 GLYPHS = {"\ue000": "a", "\ue001": "fi"}
@@ -478,3 +504,30 @@ def stream_windows(spark, sf):
     from ..streaming import ingest
 
     return ingest.windowed_counts(spark, f"{sf}/events.parquet", shared_path(spark, "windows"))
+
+
+@query("""WITH p AS (SELECT conv_id, turn, turn % 4 AS lv, role || turn AS title FROM conversations), l AS (SELECT *, """ + ", ".join(f"max(CASE WHEN lv = {k} THEN turn END) OVER w AS p{k}" for k in (1, 2, 3)) + """ FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+    SELECT conv_id, turn, concat_ws('/', (SELECT title FROM p q WHERE q.conv_id = l.conv_id AND q.turn = p1), CASE WHEN p2 > coalesce(p1, -1) THEN (SELECT title FROM p q WHERE q.conv_id = l.conv_id AND q.turn = p2) END, CASE WHEN p3 > greatest(coalesce(p1, -1), coalesce(p2, -1)) THEN (SELECT title FROM p q WHERE q.conv_id = l.conv_id AND q.turn = p3) END) AS path FROM l""")
+def s7_heading_paths(spark, sf):
+    """The headings that each turn stands under; a turn's level follows from its place, 0 is no heading."""
+    level = F.when(F.col("turn") % 4 > 0, F.col("turn") % 4)
+    c = table(spark, sf, "conversations").withColumns({"level": level, "title": F.when(F.col("turn") % 4 > 0, F.concat("role", F.col("turn").cast("string")))})
+    return readers.heading_paths(c, "conv_id", "turn", "level", "title", 3).select("conv_id", "turn", F.array_join("path", "/").alias("path"))
+
+
+@query("SELECT 'w' || doc_id AS work, CAST(1 + (length(text) - length(replace(text, chr(10), ''))) AS BIGINT) AS lines, sha256(text) AS sha256 FROM documents WHERE lang = 'fr' AND NOT regexp_matches(text, '(^|\n)[ \t]*(\n|$)') AND NOT regexp_matches(text, '\n~~')")
+def s16_import_works(spark, sf):
+    """Marked-up works that a catalogue lists with their sums: checked, parsed, written as JSON lines, and their manifest."""
+    d = table(spark, sf, "documents").where("lang = 'fr'").where(~F.col("text").rlike(r"(^|\n)[ \t]*(\n|\z)") & ~F.col("text").rlike(r"\n~~"))
+    files = d.select(F.concat(F.lit("f"), F.col("doc_id").cast("string")).alias("path"), F.col("text").cast("binary").alias("content"), "doc_id")
+    catalog = files.select(F.concat(F.lit("w"), F.col("doc_id").cast("string")).alias("work"), "path", F.sha2("content", 256).alias("sha256"))
+    manifest = readers.import_works(files.select("path", "content"), catalog, shared_path(spark, "works"))
+    return manifest.select("work", F.col("records").alias("lines"), "sha256")
+
+
+@query(rf"SELECT doc_id, md5(lower(translate(regexp_replace(coalesce(text, '') || ' كِتَابٌ ٣ أُولَىٰ', '[{ARABIC.marks}]', '', 'g'), '{ARABIC.fold_from}', '{ARABIC.fold_to}'))) AS arabic, len(regexp_extract_all(translate(lower(regexp_replace(coalesce(text, '') || ' نامهٔ ۴', '[{PERSIAN.marks}]', '', 'g')), '{PERSIAN.fold_from}', '{PERSIAN.fold_to}'), '[\p{{L}}\p{{N}}]+')) AS persian_tokens FROM documents")
+def f1_norm_profiles(spark, sf):
+    """The same functions under the other profiles."""
+    d = table(spark, sf, "documents")
+    arabic = T.norm(F.concat(T.text("text"), F.lit(" كِتَابٌ ٣ أُولَىٰ")), ARABIC)
+    return d.select("doc_id", F.md5(arabic.cast("binary")).alias("arabic"), F.size(T.tokens(F.concat(T.text("text"), F.lit(" نامهٔ ۴")), PERSIAN)).cast("long").alias("persian_tokens"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,13 +70,72 @@ def leaves(texts: DataFrame, key: str, text: str, spans: str) -> DataFrame:
     return texts.select(key, text, F.posexplode(spans).alias("leaf", "s")).select(key, "leaf", F.col(text).substr(F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("text"))
 
 
+def indexed_leaves(texts: DataFrame, key: str, text: str, index: str, printed: str) -> DataFrame:
+    """One row for each leaf of an OCR text: index is a JSON array of [start, end) positions, printed a JSON object of the leaves'
+    printed pages (those without one have null)."""
+    spans = F.transform(F.from_json(index, "array<array<int>>"), lambda x: F.struct(F.get(x, F.lit(0)).alias("start"), F.get(x, F.lit(1)).alias("end")))
+    pages = texts.select(F.col(key).alias("k_"), F.from_json(printed, "map<string,string>").alias("m_"))
+    out = leaves(texts.withColumn("spans_", spans), key, text, "spans_")
+    return out.join(pages, F.col(key) == F.col("k_")).select(key, "leaf", F.col("m_")[F.col("leaf").cast("string")].alias("printed_page"), "text")
+
+
 def couplets(verses: DataFrame, poem: str, order: str, position: str, text: str) -> DataFrame:
-    """Half lines paired to couplets: a right one takes the left one right after it, others stay single."""
+    """Half lines as units: a `right` one takes the `left` one right after it (bayt), a `center1` one the `center2` one (band),
+    paragraphs stand by themselves and comments go; any other half line stays single, with a warning."""
     w = Window.partitionBy(poem).orderBy(order)
-    v = verses.withColumn("next_", F.lead(position).over(w)).withColumn("next_text", F.lead(text).over(w)).withColumn("prev_", F.lag(position).over(w))
-    paired = (F.col(position) == "right") & (F.col("next_") == "left")
-    v = v.where(~((F.col(position) == "left") & (F.coalesce("prev_", F.lit("")) == "right")))
-    return v.select(poem, order, F.when(paired, "bayt").otherwise("single_line").alias("unit_type"), F.when(paired, F.array(text, "next_text")).otherwise(F.array(text)).alias("hemistichs"))
+    v = verses.withColumns({"next_": F.lead(position).over(w), "next_text": F.lead(text).over(w), "prev_": F.coalesce(F.lag(position).over(w), F.lit(""))}).where(F.coalesce(position, F.lit("")) != "comment")
+    opens = lambda a, b: (F.col(position) == a) & (F.coalesce("next_", F.lit("")) == b)
+    taken = ((F.col(position) == "left") & (F.col("prev_") == "right")) | ((F.col(position) == "center2") & (F.col("prev_") == "center1"))
+    v = v.where(~F.coalesce(taken, F.lit(False)))
+    kind = F.when(opens("right", "left"), "bayt").when(opens("center1", "center2"), "band").when(F.col(position) == "paragraph", "paragraph").otherwise("single_line")
+    pair = F.when(kind.isin("bayt", "band"), F.array(text, "next_text")).otherwise(F.array(text))
+    return v.select(poem, order, kind.alias("unit_type"), pair.alias("hemistichs"), (kind == "single_line").alias("warning"))
+
+
+def tree_walk(nodes: DataFrame, key: str, parent: str, order: str, title: str, depth: int = 8) -> DataFrame:
+    """(key, path, place) of a catalogue's nodes, depth first: path holds the titles from the root, place sorts the nodes as a
+    walk meets them. Nodes below `depth` levels are an error, not a cut."""
+    mine = F.struct(F.col(order).alias("o"), F.col(key).cast("string").alias("k"))
+    level = nodes.where(F.col(parent).isNull()).select(F.col(key).alias("id"), F.array(title).alias("path"), F.array(mine).alias("place"))
+    out = level
+    for k in range(depth + 1):  # one join a level; catalogues are small
+        up = level.withColumnsRenamed({"id": "p_id", "path": "p_path", "place": "p_place"})
+        level = nodes.join(up, F.col(parent) == F.col("p_id")).select(F.col(key).alias("id"), F.array_append("p_path", F.col(title)).alias("path"), F.array_append("p_place", mine).alias("place"))
+        if k == depth:
+            deep = level.select(F.raise_error(F.concat(F.lit("too deep: "), F.col("id").cast("string"))).cast(out.schema["id"].dataType).alias("id"), "path", "place")
+            return out.unionByName(deep).withColumnRenamed("id", key)
+        out = out.unionByName(level)
+    return out.withColumnRenamed("id", key)
+
+
+def word_paragraphs(files: DataFrame) -> DataFrame:
+    """(path, line, text) of the paragraphs of Word files (path, content) that aren't blank."""
+
+    @F.pandas_udf("array<string>")
+    def paragraphs(contents: pd.Series) -> pd.Series:
+        name = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+
+        def read(content: bytes) -> list[str]:
+            root = ElementTree.fromstring(zipfile.ZipFile(io.BytesIO(content)).read("word/document.xml"))
+            return ["".join(t.text or "" for t in p.iter(f"{name}t")) for p in root.iter(f"{name}p")]
+
+        return contents.map(read)
+
+    return files.select("path", F.posexplode(paragraphs("content")).alias("line", "text")).where(F.trim("text") != "")
+
+
+def folder_records(spark: SparkSession, root: str, folders: list[str] = (), names: str = "", schema: str = UNIT) -> DataFrame:
+    """Records of the JSON-lines files under root, in all depths: of some folders only, and of files whose names have one of the
+    parts (between commas, in any case). Other folders aren't listed."""
+    df = json_lines(spark, [f"{root}/{f}" for f in folders] if folders else root, schema)
+    parts = [p.strip().lower() for p in names.split(",") if p.strip()]
+    if parts:
+        file = F.lower(F.substring_index("path", "/", -1))
+        wanted = F.contains(file, F.lit(parts[0]))
+        for p in parts[1:]:
+            wanted = wanted | F.contains(file, F.lit(p))
+        df = df.where(wanted)
+    return df
 
 
 def verified(files: DataFrame, expected: DataFrame) -> DataFrame:
@@ -117,8 +181,11 @@ def numbered(df: DataFrame, key: str, order: str, anchors: DataFrame, anchor_at:
     return joined.withColumn("printed", base + F.col("place")).drop("a_key", "a_at", "a_number")
 
 
-def verse_lines(lines: DataFrame, key: str = "path", order: str = "line", text: str = "value") -> DataFrame:
-    """(sura, aya, text) of `# s | a | text` lines with the lines after them; other lines before the first are dropped."""
+def verse_lines(lines: DataFrame, key: str = "path", order: str = "line", text: str = "value", opening: str = "", keeps: tuple[int, ...] = (1, 9)) -> DataFrame:
+    """(sura, aya, text) of `# s | a | text` lines with the lines after them; other lines before the first are dropped.
+
+    An opening formula is taken off each first verse, but for the suras of `keeps`.
+    """
     w = Window.partitionBy(key).orderBy(order)
     pattern = r"^# *(\d+) *\| *(\d+) *\| ?(.*)$"
     t = F.col(text)
@@ -127,7 +194,17 @@ def verse_lines(lines: DataFrame, key: str = "path", order: str = "line", text:
     df = df.withColumns({"part": part, "sura": F.regexp_extract(t, pattern, 1), "aya": F.regexp_extract(t, pattern, 2)})
     parts = F.transform(F.sort_array(F.collect_list(F.struct(order, "part"))), lambda x: x["part"])
     out = df.groupBy(key, "unit").agg(F.min_by("sura", order).cast("int").alias("sura"), F.min_by("aya", order).cast("int").alias("aya"), F.array_join(parts, " ").alias("text"))
-    return out.select("sura", "aya", F.trim("text").alias("text"))
+    whole = F.trim("text")
+    if opening:
+        first = (F.col("aya") == 1) & ~F.col("sura").isin(*keeps) & F.trim("text").startswith(opening)
+        whole = F.when(first, F.trim(F.substring(whole, F.lit(len(opening) + 1), F.length("text")))).otherwise(whole)
+    return out.select("sura", "aya", whole.alias("text"))
+
+
+def counted(df: DataFrame, expected: int) -> DataFrame:
+    """df, if it has as many rows as expected; else any use of it fails."""
+    n = df.agg(F.count("*").alias("n_")).select(F.when(F.col("n_") == expected, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit(f"not {expected} rows but "), F.col("n_").cast("string"))).cast("boolean")).alias("ok_"))
+    return df.crossJoin(F.broadcast(n)).where("ok_").drop("ok_")  # one row
 
 
 def marked_verdicts(lines: DataFrame, key: str, order: str, text: str, number: str, mark: str, more: int = 3) -> DataFrame:
@@ -152,3 +229,18 @@ def imported(spark: SparkSession, catalog: list[tuple[str, str, str, str]]) -> D
         part = df.select(F.lit(work).alias("work"), F.to_json(F.struct(*df.columns)).alias("record"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def import_works(files: DataFrame, catalog: DataFrame, target: str) -> DataFrame:
+    """Imports marked-up works: each file (path, content) that the catalogue (work, path, sha256) lists is checked, parsed and
+    written as JSON lines, a folder for each work; returns the manifest (work, path, sha256, records).
+
+    A file with another sum than the catalogue's fails the job before anything of it is written.
+    """
+    good = verified(files.join(catalog.select("path"), "path", "left_semi"), catalog.select("path", "sha256")).join(catalog, "path")
+    lines = good.select("work", "path", F.posexplode(F.split(F.col("content").cast("string"), "\r?\n")).alias("line", "value"))
+    units = marked_up(lines).join(catalog.select("path", "work"), "path")
+    record = F.to_json(F.struct(F.concat_ws(":", "work", "unit").alias("id"), "work", "kind", "level", "page_before", "text"))
+    units.select("work", record.alias("value")).write.mode("overwrite").partitionBy("work").option("compression", "gzip").text(target)
+    n = files.sparkSession.read.text(target).groupBy("work").agg(F.count("*").alias("records"))
+    return catalog.join(n, "work", "left").select("work", "path", "sha256", F.coalesce("records", F.lit(0)).alias("records"))

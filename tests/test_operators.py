@@ -606,6 +606,30 @@ def test_marked_up_text(spark):
     assert got == [("para", None, None, "one more"), ("heading", 2, 4, "Title"), ("para", None, 4, "two"), ("para", None, 4, "loose")]
 
 
+def test_word_files_folders_and_walks(spark, tmp_path):
+    import io
+    import zipfile
+
+    buffer, name = io.BytesIO(), "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("word/document.xml", f'<w:document xmlns:w="{name}"><w:body><w:p><w:r><w:t>one </w:t></w:r><w:r><w:t>line</w:t></w:r></w:p><w:p/><w:p><w:r><w:t>two</w:t></w:r></w:p></w:body></w:document>')
+    files = spark.createDataFrame([("f", bytearray(buffer.getvalue()))], "path string, content binary")
+    assert [(r["line"], r["text"]) for r in readers.word_paragraphs(files).collect()] == [(0, "one line"), (2, "two")]
+    for folder, file in (("a", "Book.One"), ("a", "other"), ("b/deep", "book.two")):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / folder / f"{file}.jsonl").write_text('{"id": "%s"}\n' % file, encoding="utf-8")
+    ids = lambda *a: {r["id"] for r in readers.folder_records(spark, str(tmp_path), *a).collect()}
+    assert ids() == {"Book.One", "other", "book.two"} and ids(["a"]) == {"Book.One", "other"} and ids([], "BOOK, x") == {"Book.One", "book.two"} and ids(["b"], "one") == set()
+    nodes = spark.createDataFrame([("a", None, 2, "A"), ("b", None, 1, "B"), ("c", "a", 1, "C"), ("d", "c", 1, "D")], "id string, parent string, o int, title string")
+    walk = readers.tree_walk(nodes, "id", "parent", "o", "title", 3)
+    assert [(r["id"], r["path"]) for r in walk.orderBy("place").collect()] == [("b", ["B"]), ("a", ["A"]), ("c", ["A", "C"]), ("d", ["A", "C", "D"])]
+    with pytest.raises(Exception, match="too deep"):
+        readers.tree_walk(nodes, "id", "parent", "o", "title", 1).collect()
+    assert readers.counted(nodes, 4).count() == 4
+    with pytest.raises(Exception, match="not 5 rows"):
+        readers.counted(nodes, 5).collect()
+
+
 def test_couplets_and_leaves(spark):
     v = spark.createDataFrame([("p", 1, "right", "a"), ("p", 2, "left", "b"), ("p", 3, "right", "c"), ("p", 4, "comment", "d")], "poem string, n int, pos string, text string")
     got = [(r["n"], r["unit_type"], r["hemistichs"]) for r in readers.couplets(v, "poem", "n", "pos", "text").orderBy("n").collect()]
