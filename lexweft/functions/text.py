@@ -5,6 +5,8 @@ Null texts count as empty unless a function says otherwise.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,20 +46,45 @@ def words(c: Column | str, p: Profile = LATIN, least: int = 1) -> Column:
     return F.regexp_extract_all(F.regexp_replace(text(c), f"[{p.marks}]", ""), F.lit(f"([{p.letters}]{{{least},}})"), F.lit(1))
 
 
-def stem(w: Column, p: Profile = LATIN) -> Column:
-    """A normalised word without proclitics (if three letters stay) and without the final letter that the profile drops."""
-    if p.proclitics:
-        front = "".join(f"(?:{'|'.join(g)})?" for g in p.proclitics)
-        w = F.regexp_replace(w, f"^{front}(.{{3,}})$", "$1")
-    if p.final:
-        w = F.when((F.length(w) >= 4) & F.endswith(w, F.lit(p.final)), F.substring(w, F.lit(1), F.length(w) - 1)).otherwise(w)
+def _bare(w: Column, p: Profile) -> Column:
+    """A word without its proclitics, if three letters stay."""
+    if not p.proclitics:
+        return w
+    front = "".join(f"(?:{'|'.join(g)})?" for g in p.proclitics)
+    has = reduce(lambda a, b: a | b, [F.startswith(w, F.lit(x)) for g in p.proclitics for x in g])
+    return F.when(has, F.regexp_replace(w, f"^{front}(.{{3,}})$", "$1")).otherwise(w)
+
+
+def _short(w: Column, p: Profile) -> Column:
+    """A word of four letters and more without the final letter that the profile drops."""
+    if not p.final:
+        return w
+    return F.when((F.length(w) >= 4) & F.endswith(w, F.lit(p.final)), F.substring(w, F.lit(1), F.length(w) - 1)).otherwise(w)
+
+
+def _common(w: Column, p: Profile) -> Column:
     for a, b in p.same.items():
         w = F.when(w == a, F.lit(b)).otherwise(w)
     return w
 
 
+def stem(w: Column, p: Profile = LATIN) -> Column:
+    """A normalised word without proclitics (if three letters stay) and without the final letter that the profile drops."""
+    return _common(_short(_bare(w, p), p), p)
+
+
 def stems(c: Column | str, p: Profile = LATIN) -> Column:
-    return F.transform(F.filter(F.split(clean(c, p), " "), lambda w: w != ""), lambda w: stem(w, p))
+    """The stems of a text's words. Each step goes over all words by itself, as an expression that another one holds several
+    times is computed as often."""
+    out = F.regexp_extract_all(norm(c, p), F.lit(r"\p{L}+"), F.lit(0))
+    for step, used in ((_bare, p.proclitics), (_short, p.final), (_common, p.same)):
+        if used:
+            out = _each(out, step, p)
+    return out
+
+
+def _each(words: Column, step, p: Profile) -> Column:
+    return F.transform(words, lambda w: step(w, p))
 
 
 def content(toks: Column, stop: list[str] | frozenset[str], least: int = 2) -> Column:
