@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.profiles import LATIN, Profile
+from . import graph
 
 
 def postings(docs: DataFrame, uid: str = "doc_id", text_col: str = "text", p: Profile = LATIN) -> DataFrame:
@@ -176,6 +177,10 @@ def matching(posts: DataFrame, tree: tuple) -> DataFrame:
     numbered = _leaves(tree, leaves)
     single = {x[1][0]: i for i, x in enumerate(leaves) if x[0] == "phrase" and len(x[1]) == 1 and not x[2]}
     parts = []
+    if len(leaves) - len(single) + bool(single) > 1:  # several passes: over the rows of the query's own terms, kept once
+        whole = {t for x in leaves for t in (x[1] if x[0] == "phrase" else [t for g in x[1] for t in g])}
+        starts = [F.col("term").startswith(x[1][-1]) for x in leaves if x[0] == "phrase" and x[2] and x[1]]
+        posts = graph.checkpointed(posts.where(reduce(lambda a, b: a | b, starts, F.col("term").isin(*sorted(whole)))))
     if single:
         number = F.create_map(*[F.lit(v) for kv in single.items() for v in kv])
         parts.append(posts.where(F.col("term").isin(*single)).select("uid", number[F.col("term")].alias("leaf")))
@@ -424,8 +429,6 @@ def placed(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     Rows are dealt by ranges of the order and sorted there; a row's place is its place in its part after the rows of the parts
     before, so no task sees them all. The sorted rows are kept, so that counting and numbering see the same parts.
     """
-    from . import graph
-
     dealt = graph.checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part_", F.spark_partition_id()).withColumn("at_", F.monotonically_increasing_id()))
     sizes = dealt.groupBy("part_").agg(F.count("*").alias("n"), F.min("at_").alias("first")).collect()  # one row a part
     starts, before = [], 0
