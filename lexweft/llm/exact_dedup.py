@@ -1,11 +1,11 @@
 """Exact dedup by deterministic block naming, with DataFrame functions only.
 
 A text (each run of ASCII white space as one space) is cut into blocks of BLOCK characters. The blocks that stand in more
-than one place are sorted, and a block's integer name is its place in that order: equal blocks have one name, different
-ones never share one, and names follow from the blocks alone, not from how files are split. A block that stands in one
-place only needs none, as no other text can equal its text. Then adjacent names are paired and the pairs named in the same
-way, again and again, until each text that is left has one name. Two texts are equal if and only if their last names, and
-the rounds that these took, are equal: no hash is trusted.
+than one place are dealt by their content and sorted, and a block's integer name is its place in that order: equal blocks
+have one name, different ones never share one, and names follow from the blocks, not from how files are split. A block that
+stands in one place only needs none, as no other text can equal its text. Then adjacent names are paired and the pairs named
+in the same way, again and again, until each text that is left has one name. Two texts are equal if and only if their last
+names, and the rounds that these took, are equal: no hash is trusted.
 
 Hot blocks: a block's copies meet only as one partial count for each task; they get their name by a join whose other side
 has one row for each repeated block, a join that adaptive execution may split anywhere. Rows are numbered by their place
@@ -36,9 +36,9 @@ def _named(parts: DataFrame, key: list[str]) -> DataFrame:
     """The rows of parts (uid, pos, total, key...) whose key is there more than once, with an integer `name` for each
     distinct key: its place among these keys in sorted order."""
     several = parts.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*[F.col(c).alias(f"r_{c}") for c in key])
-    # Written in order and numbered by the place in the files. So the join also has an exchange of its own on either side,
-    # which adaptive execution may split for a hot key.
-    names = numbered(several.orderBy(*several.columns), "name")
+    # Sorted where the counts met (a sort of all would sample blocks to the driver), written, and numbered by the place in the
+    # files. So the join also has an exchange of its own on either side, which adaptive execution may split for a hot key.
+    names = numbered(several.sortWithinPartitions(*several.columns), "name")
     on = [F.col(c) == F.col(f"r_{c}") for c in key]
     return parts.join(names, on).select("uid", "pos", "total", "name")
 
