@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import re
 import shutil
@@ -45,9 +47,12 @@ def durable(df: DataFrame, rows: int | None = None) -> DataFrame:
     ROWS_PER_FILE of them (and two for each core) instead of one for each shuffle partition.
     """
     shared_dir(df.sparkSession)
-    if rows is not None:
-        df = df.coalesce(max(8, 2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_FILE)))
-    return df.checkpoint(eager=True)
+    return (df if rows is None else fewer(df, rows)).checkpoint(eager=True)
+
+
+def fewer(df: DataFrame, rows: int, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """df, which has about `rows` rows at most, in as many partitions as that needs and two for each core, if it has more."""
+    return df.coalesce(max(8, 2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_file)))
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -141,10 +146,21 @@ def worker_cache(name: str) -> dict:
     """What a Python worker keeps between batches and tasks of one kind; that of other kinds is dropped then."""
     if name not in _CACHES:
         _CACHES.clear()
+        release()
         _CACHES[name] = {}
     return _CACHES[name]
 
 
+def release() -> None:
+    """Gives memory that a worker has freed back to the system: workers are used again by later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", rows: int = SLICE_ROWS, chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Arrow slices of bounded rows and characters, each with its texts as a list (None stays None)."""
     for batch in batches:

@@ -23,14 +23,16 @@ def _small(edges: DataFrame) -> DataFrame:
     return out.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select(F.col("c").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
     """node, component (the smallest node that it reaches) for every node of an edge other than a component's smallest.
 
     Each round is kept in the shared folder and makes no more rows than nodes and edges. Ends when a round changes
     nothing: then every edge goes from a node to its component's smallest. The rounds grow with the logarithm of the
     number of nodes; each one that changes something brings a node closer, so there is no bound to set.
+
+    rows: about how many edges there are at most, where that is known (see durable).
     """
-    now = durable(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
+    now = durable(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct(), rows)
     rows, seen = now.count(), None
     while True:
         now = durable(_small(_large(now)), rows)

@@ -20,9 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import column, durable, free_name, numbered
+from ._common import ROWS_PER_FILE, column, durable, fewer, free_name, numbered
 
 BLOCK = 4096
+#: Repeated blocks of which one file is made (20 MB).
+BLOCKS_PER_FILE = 5_000
 #: The column of the rows' numbers beside df's own columns, which get it with more underscores if a name starts so.
 UID = "dedup_uid_"
 WHITE = r"[\x20\x09-\x0D]+"
@@ -32,13 +34,13 @@ def normalised(col: Column) -> Column:
     return F.regexp_replace(F.coalesce(col.cast("string"), F.lit("")), WHITE, " ")
 
 
-def _named(parts: DataFrame, key: list[str]) -> DataFrame:
+def _named(parts: DataFrame, key: list[str], rows: int, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """The rows of parts (uid, pos, total, key...) whose key is there more than once, with an integer `name` for each
-    distinct key: its place among these keys in sorted order."""
+    distinct key: its place among these keys in sorted order. rows: about how many keys there are at most."""
     several = parts.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*[F.col(c).alias(f"r_{c}") for c in key])
     # Sorted where the counts met (a sort of all would sample blocks to the driver), written, and numbered by the place in the
     # files. So the join also has an exchange of its own on either side, which adaptive execution may split for a hot key.
-    names = numbered(several.sortWithinPartitions(*several.columns), "name")
+    names = numbered(fewer(several, rows, rows_per_file).sortWithinPartitions(*several.columns), "name")
     on = [F.col(c) == F.col(f"r_{c}") for c in key]
     return parts.join(names, on).select("uid", "pos", "total", "name")
 
@@ -55,7 +57,8 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
     cut = texts.select(F.col(uid).alias("uid"), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0)).alias("blocks"))
     first = cut.select("uid", F.greatest(F.size("blocks"), F.lit(1)).alias("total"), F.posexplode_outer("blocks").alias("pos", "block"))
     first = first.select("uid", "total", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("block", F.lit("")).alias("block"))
-    now = durable(_named(first, ["block"]))
+    n = texts.count()
+    now = durable(_named(first, ["block"], n, BLOCKS_PER_FILE), n)
     level, done = 0, []
     while True:
         done.append(now.where("total = 1").select("uid", F.lit(level).alias("level"), "name"))
@@ -67,7 +70,7 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
         pairs = half.agg(F.count("*").alias("n"), F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"), F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b"))
         pairs = pairs.where(F.col("n") == F.least(F.lit(2), F.col("total") - 2 * F.col("half")))
         level += 1
-        now = durable(_named(pairs.select("uid", F.col("half").alias("pos"), F.ceil(F.col("total") / 2).cast("int").alias("total"), "a", "b"), ["a", "b"]))
+        now = durable(_named(pairs.select("uid", F.col("half").alias("pos"), F.ceil(F.col("total") / 2).cast("int").alias("total"), "a", "b"), ["a", "b"], n), n)
     names = done[0]
     for d in done[1:]:
         names = names.unionByName(d)

@@ -135,7 +135,7 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, size: int = 3, p
     with_set = docs.where("n_shingles > 0")
     # One node for each set; a set's rows meet as one partial row for each task. min over the struct keeps id and row together.
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best")
-    nodes = durable(with_set.groupBy("d1", "d2").agg(best).select("d1", "d2", F.col("best.doc_id").alias("first_id"), F.col("best.uid").alias("node")))
+    nodes = durable(with_set.groupBy("d1", "d2").agg(best).select("d1", "d2", F.col("best.doc_id").alias("first_id"), F.col("best.uid").alias("node")), rows_n)
     rep = durable(nodes.select("node").join(with_set.select("uid", "n_shingles", "buckets", "sig"), F.col("node") == F.col("uid")).drop("uid"))
     member = rep.select("node", F.posexplode("buckets").alias("band", "bucket"))
     count = member.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("n_band"), F.col("bucket").alias("n_bucket"), "n")
@@ -147,14 +147,14 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, size: int = 3, p
     left = durable(left.join(hub, (F.col("band") == F.col("h_band")) & (F.col("bucket") == F.col("h_bucket"))).where("node <> hub").select("node", "band", "bucket", "hub"))
     stars = left.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = durable(_confirmed(stars, rep, _sets_of(source, size, rows_n), percent, bands * rows))
-    comp = connected_components(links)
+    comp = connected_components(links, rows=rows_n * bands)
     # Step 2: what is left in buckets of several components.
     left = durable(_several(left.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left")), rows_n)
     if not left.isEmpty():
         sets = durable(_sets_of(source, size, rows_n)(left.select("node")))
         new = durable(_confirmed(_prefix_pairs(left, sets, percent, rows_n), rep, lambda _: sets, percent, bands * rows))
         if not new.isEmpty():
-            comp = connected_components(links.unionByName(new))
+            comp = connected_components(links.unionByName(new), rows=rows_n * bands)
     label = lambda col: F.coalesce(col, F.col("node"))
     where = durable(nodes.join(comp.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select("d1", "d2", "first_id", "node", label(F.col("component")).alias("component")), rows_n)
     # Kept, so that the join back has an exchange of its own on either side, which may be split for a large component.

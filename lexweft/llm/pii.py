@@ -297,7 +297,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_t
     values in them. The windows are chosen from the whole texts, at most max_windows by a hash; only they come to the driver."""
     slim = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
     # At most max_texts ids.
-    chosen = F.broadcast(durable(hash_order(slim.where(F.col("text").rlike("[0-9@]")), "id", max_texts, SEED)))
+    chosen = F.broadcast(durable(hash_order(slim.where(F.col("text").rlike("[0-9@]")), "id", max_texts, SEED), max_texts))
 
     def kernel(texts):
         return [pa.array([sorted({t[s : s + WINDOW] for a, b in scored(t or "") for s in range(a, max(a + 1, b - STRIDE), STRIDE)}) for t in texts], pa.list_(pa.string()))]

@@ -143,7 +143,7 @@ def thresholds(measured: DataFrame, group: list[str], min_group: int = MIN_GROUP
     """For each group of measured texts: lo_ and hi_ of each ratio. group: from the widest column to the narrowest."""
     ratios = _ratios(measured.where(F.col("n_words") > 0)).withColumn("everything_", F.lit(0))
     group = ["everything_", *group]
-    base = durable(sketches(ratios, group, list(RATIOS)))
+    base = durable(sketches(ratios, group, list(RATIOS)), measured.count())
     quartiles = lambda sketch, keys: quantiles(sketch, keys, {"q1": 0.25, "q3": 0.75})
     out = quartiles(base, group)
     for k in range(len(group) - 1, 0, -1):  # a small group takes what its wider group has
@@ -160,7 +160,7 @@ def thresholds(measured: DataFrame, group: list[str], min_group: int = MIN_GROUP
 
 def judge(measured: DataFrame, limits: DataFrame, group: list[str], broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
     """measured with base_failed and kept: the base rules, then each ratio against its group's limits."""
-    limits = durable(limits.withColumnsRenamed({c: f"g_{c}" for c in group}))
+    limits = durable(limits.withColumnsRenamed({c: f"g_{c}" for c in group}), broadcast_groups)
     on = [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in group]
     if limits.limit(broadcast_groups + 1).count() <= broadcast_groups:
         joined = _ratios(measured).join(F.broadcast(limits), on, "left")

@@ -127,7 +127,7 @@ def _weighted(sample: DataFrame) -> DataFrame:
         low = np.array([minima(shingle_set(t, 3), mul, add) for t in texts], np.int64).reshape(len(texts), 3)
         return [pa.array(low[:, k]) for k in range(3)]
 
-    out = durable(map_text(sample, ["y", "text"], "text", [("m0", "long"), ("m1", "long"), ("m2", "long")], kernel))
+    out = durable(map_text(sample, ["y", "text"], "text", [("m0", "long"), ("m1", "long"), ("m2", "long")], kernel), MAX_POSITIVE + MAX_UNLABELLED)
     for k in range(3):
         # At most as many rows as the sample has, of three numbers.
         n = out.groupBy(F.col("y").alias("c_y"), F.col(f"m{k}").alias("c_m")).agg(F.count("*").alias(f"n{k}"))
@@ -139,15 +139,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Learns from docs (all of them may be used) and labels (id_col, label_col) for some of them."""
     texts = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
     known = labels.select(column(id_col).alias("id"), column(label_col).alias("y")).where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.max("y").alias("y"))
-    known = durable(known.join(texts.select("id"), "id", "left_semi"))
+    known = durable(known.join(texts.select("id"), "id", "left_semi"), labels.count())
     prior = known.agg(F.avg("y")).first()[0] or 0.0
     prior = min(max(prior, 0.001), 0.9)
     confirmed = hash_order(known.where("y = 1"), "id", max_positive, SEED).withColumn("y", F.lit(1))
     unlabelled = hash_order(texts, "id", max_unlabelled, SEED + 1).withColumn("y", F.lit(0))
     # At most max_positive + max_unlabelled rows of two numbers.
-    chosen = F.broadcast(durable(confirmed.unionByName(unlabelled)))
-    found = durable(one_row_per_id(texts.join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi"), "id", "text"))
-    sample = durable(_weighted(found.join(chosen, "id").select("y", "text")))
+    chosen = F.broadcast(durable(confirmed.unionByName(unlabelled), max_positive + max_unlabelled))
+    found = durable(one_row_per_id(texts.join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi"), "id", "text"), max_positive + max_unlabelled)
+    sample = durable(_weighted(found.join(chosen, "id").select("y", "text")), max_positive + max_unlabelled)
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.sum("weight").alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return Model({}, math.log(prior / (1 - prior)))
