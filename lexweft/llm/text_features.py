@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ._common import column, map_text, ship, slices
 
 Featurizer = Callable[[str | None], set[str]]
+#: Features that a task counts before it passes its counts on, and rows that it passes on at once.
+COUNTED, ROWS = 150_000, 20_000
 
 
 @dataclass
@@ -49,8 +51,18 @@ def count_features(sample: DataFrame, featurize: Featurizer) -> DataFrame:
                 mine = seen[y == 1]
                 for f in featurize(t):
                     mine[f] += w
-        names = list(seen[True] | seen[False])
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *[pa.array([seen[k].get(f, 0) for f in names], pa.int64()) for k in (True, False)]], names=["feature", "n1", "n0"])
+                if len(seen[True]) + len(seen[False]) > COUNTED:
+                    yield from rows(seen)
+        yield from rows(seen)
+
+    def rows(seen):
+        """What has been counted, in parts; the counts begin anew."""
+        for y in (True, False):
+            names, counts = list(seen[y]), list(seen[y].values())
+            seen[y].clear()
+            for at in range(0, len(names), ROWS):
+                n, zero = pa.array(counts[at : at + ROWS], pa.int64()), pa.array([0] * len(counts[at : at + ROWS]), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(names[at : at + ROWS], pa.string()), *((n, zero) if y else (zero, n))], names=["feature", "n1", "n0"])
 
     inner = sample.select("text", "y", F.col("weight").cast("long").alias("weight"))
     return inner.mapInArrow(count, "feature string, n1 long, n0 long").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
