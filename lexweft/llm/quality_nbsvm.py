@@ -51,32 +51,65 @@ def shape(word: str) -> str:
     return out
 
 
-def featurize(text: str | None) -> set[str]:
+@dataclass
+class Parts:
+    """What a text's features are made of: distinct words and pairs of words (in lower case), runs of shapes, and parts of long words."""
+
+    words: set[str]
+    pairs: set[tuple[str, str]]
+    runs: set[tuple[str, ...]]
+    pieces: set[str]
+
+
+def parts(text: str | None) -> Parts | None:
     words = text.split() if text else []
     if not words:
-        return {"blank"}
+        return None
     known = worker_cache("shapes")
     if len(known) > CACHE_WORDS:
         known.clear()
-    distinct = set(words)
-    long = {}
-    for w in distinct.difference(known):
-        if len(w) <= CACHE_CHARS:
-            known[w] = shape(w)
-        else:
-            long[w] = shape(w)
-    shapes = [known[w] if w in known else long[w] for w in words]
-    low = [_short(w) for w in words]
-    out = {f"w {w}" for w in set(low)}
-    out.update([f"p {a} {b}" for a, b in set(zip(low, low[1:], strict=False))])
-    for w in distinct:
+    mine = {}
+    for w in set(words):
+        k = known.get(w)
+        if k is None:
+            k = shape(w), _short(w)
+            if len(w) <= CACHE_CHARS:
+                known[w] = k
+        mine[w] = k
+    each = [mine[w] for w in words]
+    shapes, low, pieces = [k[0] for k in each], [k[1] for k in each], set()
+    for w, (s, _) in mine.items():
         if len(w) > LONG:
-            whole, s = w.lower(), known[w] if w in known else long[w]
-            out.update(f"c {p}" for p in {whole[i : i + 3] for i in range(len(whole) - 2)})
-            out.update(f"s {p}" for p in {s[i : i + 4] for i in range(max(1, len(s) - 3))})
-    for n in (1, 2, 3, 4):
-        out.update([f"{n} {' '.join(run)}" for run in set(zip(*(shapes[k:] for k in range(n)), strict=False))])
-    return out
+            whole = w.lower()
+            pieces.update([f"c {whole[i : i + 3]}" for i in range(len(whole) - 2)])
+            pieces.update([f"s {s[i : i + 4]}" for i in range(max(1, len(s) - 3))])
+    runs = set(zip(shapes, strict=True)).union(*[zip(*(shapes[k:] for k in range(n)), strict=False) for n in (2, 3, 4)])
+    return Parts(set(low), set(zip(low, low[1:], strict=False)), runs, pieces)
+
+
+def featurize(text: str | None) -> set[str]:
+    p = parts(text)
+    if p is None:
+        return {"blank"}
+    return p.pieces.union([f"w {w}" for w in p.words], [f"p {a} {b}" for a, b in p.pairs], [f"{len(r)} {' '.join(r)}" for r in p.runs])
+
+
+class _Active:
+    """featurize(), but only features with a weight; names are made for those only."""
+
+    def __init__(self, weights: dict[str, float]):
+        kind = lambda k: [f[2:] for f in weights if f.startswith(f"{k} ")]
+        self.words, self.pieces = set(kind("w")), {f for f in weights if f[:2] in ("c ", "s ")}
+        self.pairs = {tuple(f.split(" ")) for f in kind("p")}
+        self.runs = {tuple(f.split(" ")) for n in (1, 2, 3, 4) for f in kind(n)}
+
+    def __call__(self, text: str | None) -> set[str]:
+        p = parts(text)
+        if p is None:
+            return {"blank"}
+        out = p.pieces & self.pieces
+        out.update([f"w {w}" for w in p.words & self.words], [f"p {a} {b}" for a, b in p.pairs & self.pairs], [f"{len(r)} {' '.join(r)}" for r in p.runs & self.runs])
+        return out
 
 
 def _short(word: str) -> str:
@@ -93,7 +126,7 @@ class Model:
     def score(self, df: DataFrame, keep: list[str], text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
         """keep, score double, predicted int (1 if score >= threshold) for each whole text."""
         scale, shift = self.scale, self.shift
-        return score_with(df, keep, text_col, featurize, self.weights, lambda m: 1 / (1 + math.exp(-max(-500.0, min(500.0, scale * m + shift)))), threshold)
+        return score_with(df, keep, text_col, _Active(self.weights), self.weights, lambda m: 1 / (1 + math.exp(-max(-500.0, min(500.0, scale * m + shift)))), threshold)
 
 
 def dual_coordinate_descent(x: Rows, values: np.ndarray, y: np.ndarray, cost: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> np.ndarray:
@@ -133,12 +166,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Learns from the rows of docs that labels (id_col, label_col) covers."""
     texts = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
     known = labels.select(column(id_col).alias("id"), column(label_col).alias("y")).where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.min("y").alias("y"))
-    known = durable(known.join(texts.select("id"), "id", "left_semi"))
+    known = durable(known.join(texts.select("id"), "id", "left_semi"), labels.count())
     picks = [hash_order(known.where(c), "id", max_rows, SEED).withColumn("y", F.lit(y)) for c, y in (("y = 1", 1), ("y <> 1", 0))]
     # At most 2 x max_rows rows of two numbers.
-    chosen = F.broadcast(durable(picks[0].unionByName(picks[1])))
+    chosen = F.broadcast(durable(picks[0].unionByName(picks[1]), 2 * max_rows))
     found = one_row_per_id(texts.join(chosen, "id", "left_semi"), "id", "text")
-    sample = durable(found.join(chosen, "id").select("text", "y", F.lit(1).alias("weight")))
+    sample = durable(found.join(chosen, "id").select("text", "y", F.lit(1).alias("weight")), 2 * max_rows)
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return Model({}, 1.0, 10.0 if n.get(1) or not n else -10.0)

@@ -555,6 +555,9 @@ def test_quality_features_are_those_of_the_whole_text():
     assert "c abc" in f("x" * 5000 + "abc") and "s a0-0" in f("x" * 5000 + "9-9")
     assert {"w one", "p one 2", "p three -"} <= f("one 2 THREE -") and f("x" * 99 + "a") != f("x" * 99 + "b")
     assert {"1 a", "2 a 0", "3 a 0 A", "4 a 0 A -"} <= f("one 2 THREE -") and "w one" in f("one 2 THREE -")
+    every = f(head + " Ab12 " + prose(60, 1) + " " + "x" * 300)
+    for keep in (sorted(every)[::2], sorted(every)[1::3]):  # scoring sees the same features as training
+        assert quality_nbsvm._Active(dict.fromkeys(keep, 1.0))(head + " Ab12 " + prose(60, 1) + " " + "x" * 300) == set(keep)
     words = prose(50, 3)
     assert {x for x in f(words) if x[0] == "3"} == {f"3 {quality_nbsvm.shape(a)} {quality_nbsvm.shape(b)} {quality_nbsvm.shape(c)}" for a, b, c in zip(words.split(), words.split()[1:], words.split()[2:], strict=False)}
 
