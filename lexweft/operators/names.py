@@ -21,6 +21,12 @@ class NameRules:
     longest: int = 8
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """df as a side that no join broadcasts: what grows with the dictionary or the chains looks small to the planner, which goes
+    by the size of compressed files."""
+    return df.hint("merge")
+
+
 def _runs(w: Column, j: Column, sizes: tuple[int, ...]) -> Column:
     return F.transform(F.array(*[F.lit(n) for n in sizes]), lambda n: F.array_join(F.slice(w, j + 1, n), " "))
 
@@ -49,7 +55,7 @@ def _counts(index: DataFrame, kind: str, codes: DataFrame | None = None) -> Data
     rows = index.where(F.col("kind") == kind)
     if codes is None:
         return rows.groupBy("gram").agg(F.count("*").alias("n"), F.min("entry").alias("one"))
-    return rows.join(codes, "entry").groupBy("gram", "code").agg(F.count("*").alias("n"), F.min("entry").alias("one"))
+    return rows.join(_shuffled(codes), "entry").groupBy("gram", "code").agg(F.count("*").alias("n"), F.min("entry").alias("one"))
 
 
 def _special(rules: NameRules) -> Column:
@@ -69,11 +75,11 @@ def resolve(names: DataFrame, index: DataFrame, codes: DataFrame, aliases: DataF
     their number is given and later steps don't count.
     """
     distinct = names.select("name", "code").distinct()
-    out = distinct.join(aliases.groupBy("name").agg(F.min("entry").alias("alias")), "name", "left")
+    out = distinct.join(_shuffled(aliases.groupBy("name").agg(F.min("entry").alias("alias"))), "name", "left")
     for kind, short in (("prefix", "p"), ("inside", "i")):
         n = _counts(index, kind).select(F.col("gram").alias(f"{short}_gram"), F.col("n").alias(f"{short}_n"), F.col("one").alias(f"{short}_one"))
         c = _counts(index, kind, codes).select(F.col("gram").alias(f"{short}c_gram"), F.col("code").alias(f"{short}c_code"), F.col("n").alias(f"{short}c_n"), F.col("one").alias(f"{short}c_one"))
-        out = out.join(n, F.col("name") == F.col(f"{short}_gram"), "left").join(c, (F.col("name") == F.col(f"{short}c_gram")) & (F.col("code") == F.col(f"{short}c_code")), "left")
+        out = out.join(_shuffled(n), F.col("name") == F.col(f"{short}_gram"), "left").join(_shuffled(c), (F.col("name") == F.col(f"{short}c_gram")) & (F.col("code") == F.col(f"{short}c_code")), "left")
     bare = (F.size(F.split("name", " ")) == 2) & F.substring_index("name", " ", 1).isin(*rules.kunya)
     special, lineage = _special(rules), F.col("name").startswith(f"{rules.lineage[0]} ")
     step = lambda entry, how, n: F.struct(entry.alias("entry"), F.lit(how).alias("how"), n.alias("candidates"))
