@@ -101,9 +101,9 @@ def resolve(names: DataFrame, index: DataFrame, codes: DataFrame, aliases: DataF
 
 def candidate_entries(names: DataFrame, index: DataFrame, rules: NameRules) -> DataFrame:
     """(name, entry) of all that a distinct name could be: what starts with it, else, for by-names and epithets, what has it inside."""
-    prefix = names.select("name").distinct().join(index.where("kind = 'prefix'").select(F.col("gram").alias("name"), "entry"), "name")
-    rest = names.select("name").distinct().where(_special(rules)).join(prefix.select("name"), "name", "left_anti")
-    return prefix.unionByName(rest.join(index.where("kind = 'inside'").select(F.col("gram").alias("name"), "entry"), "name"))
+    prefix = names.select("name").distinct().join(_shuffled(index.where("kind = 'prefix'").select(F.col("gram").alias("name"), "entry")), "name")
+    rest = names.select("name").distinct().where(_special(rules)).join(_shuffled(prefix.select("name")), "name", "left_anti")
+    return prefix.unionByName(rest.join(_shuffled(index.where("kind = 'inside'").select(F.col("gram").alias("name"), "entry")), "name"))
 
 
 def chains_resolved(chains: DataFrame, index: DataFrame, codes: DataFrame, aliases: DataFrame, never: list[str], rules: NameRules, least: int = 2) -> DataFrame:
@@ -113,7 +113,7 @@ def chains_resolved(chains: DataFrame, index: DataFrame, codes: DataFrame, alias
     name and isn't one of `never`: by the only candidate that was found (at least `least` times, in the first step) next to
     the entry before or after it.
     """
-    known = chains.join(resolve(chains, index, codes, aliases, rules), ["name", "code"])
+    known = chains.join(_shuffled(resolve(chains, index, codes, aliases, rules)), ["name", "code"])
     w = Window.partitionBy("chain").orderBy("at")
     placed = known.withColumns({"left_": F.lag("entry").over(w), "right_": F.lead("entry").over(w)})
     adjacent = placed.where("entry IS NOT NULL AND right_ IS NOT NULL").groupBy(F.col("entry").alias("x"), F.col("right_").alias("y")).agg(F.count("*").alias("n"))
@@ -122,14 +122,14 @@ def chains_resolved(chains: DataFrame, index: DataFrame, codes: DataFrame, alias
         middle = middle & ~F.col("name").startswith(f"{k} ")
     # Each distinct name between the same neighbours once, however often it stands there.
     open_ = placed.where(F.col("entry").isNull() & (F.col("candidates") > 1) & middle).select("name", "left_", "right_").distinct()
-    options = open_.join(candidate_entries(open_, index, rules).withColumnRenamed("entry", "c"), "name")
+    options = open_.join(_shuffled(candidate_entries(open_, index, rules).withColumnRenamed("entry", "c")), "name")
     before = adjacent.select(F.col("x").alias("left_"), F.col("y").alias("c"), F.col("n").alias("n_left"))
     after = adjacent.select(F.col("x").alias("c"), F.col("y").alias("right_"), F.col("n").alias("n_right"))
-    score = options.join(before, ["left_", "c"], "left").join(after, ["c", "right_"], "left").withColumn("score", F.coalesce("n_left", F.lit(0)) + F.coalesce("n_right", F.lit(0))).where("score > 0")
+    score = options.join(_shuffled(before), ["left_", "c"], "left").join(_shuffled(after), ["c", "right_"], "left").withColumn("score", F.coalesce("n_left", F.lit(0)) + F.coalesce("n_right", F.lit(0))).where("score > 0")
     settled = score.groupBy("name", "left_", "right_").agg(F.count("*").alias("n"), F.min("c").alias("by_neighbour"), F.max("score").alias("score")).where((F.col("n") == 1) & (F.col("score") >= least))
     settled = settled.select(F.col("name").alias("s_name"), F.col("left_").alias("s_left"), F.col("right_").alias("s_right"), "by_neighbour")
     on = (F.col("name") == F.col("s_name")) & F.col("left_").eqNullSafe(F.col("s_left")) & F.col("right_").eqNullSafe(F.col("s_right")) & F.col("entry").isNull()
-    out = placed.join(settled, on, "left")
+    out = placed.join(_shuffled(settled), on, "left")
     return out.select("chain", "at", "name", "code", F.coalesce("entry", "by_neighbour").alias("entry"), F.when(F.col("by_neighbour").isNotNull(), "neighbour").otherwise(F.col("how")).alias("how"), "candidates")
 
 
