@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.profiles import LATIN
-from ..operators import cite as C, search as S
+from ..operators import cite as C, match as M, search as S
 from ._register import clean_sql, posts_sql, query, table, tok_sql
 
 POSTS, CLEAN = posts_sql(), clean_sql()
@@ -119,12 +119,9 @@ def p8_term_bridge(spark, sf):
 def p10_candidate_terms(spark, sf):
     """Documents in which at least half of a passage's words occur, be it within others: a cheap test before a score."""
     words = F.array_distinct(F.filter(T.tokens("text"), lambda w: F.length(w) >= 3))
-    q = table(spark, sf, "benchmark").select("item_id", words.alias("w")).where(F.size("w") > 0)
-    d = table(spark, sf, "documents").select("doc_id", T.clean("text").alias("t"))
-    from ..operators import catalog as A
-
-    half = F.size(F.filter("w", lambda x: F.contains("t", x))) >= F.ceil(F.size("w") / 2)
-    return A.theta_join(d, q, half).select("item_id", "doc_id")
+    q = table(spark, sf, "benchmark").select(F.col("item_id").alias("q"), words.alias("w"))
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("d"), T.clean("text").alias("t"))
+    return M.half_contained(d, q).select(F.col("q").alias("item_id"), F.col("d").alias("doc_id"))
 
 
 _LIC = "(SELECT doc_id, t, ws, i, CASE WHEN i > 1 THEN length(array_to_string(ws[1:i - 1], ' ')) + 1 ELSE 0 END AS ps FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM (SELECT doc_id, t, string_split(t, ' ') AS ws FROM (SELECT doc_id, " + CLEAN + " AS t FROM documents))) WHERE ws[i] = 'license')"
